@@ -9,13 +9,14 @@ which is a Jaccard similarity of 0.8.
    documents. Every class orders its shingles from short lists to long ones; the last
    T - 1 (T for the smallest partner) are its long lists and stay out of the index, as
    any partner has to occur on one of the others.
-2. Search. Lists are read in order, as a stream; a member is a candidate if sizes and
-   positions on the list still allow the overlap. First each member is only paired with
+2. Search. Lists are read in order, as a stream. First each member is only paired with
    the list's first one, which joins large groups of near copies without listing
    their pairs; then pairs of members that are not yet in one component are taken, all of
-   them, so that no link between components is missed.
-3. Each pair's overlap is decided by DivideSkip (see divide_skip): the short lists are
-   merged with a heap, candidates that occur often enough there are looked up in the
+   them, so that no link between components is missed. A pair is a candidate if sizes and
+   positions allow the overlap and if it occurs on T less the number of long lists, or more, of the
+   short ones.
+3. Each candidate pair's overlap is decided by DivideSkip on its whole sets (see divide_skip): the
+   short lists are merged with a heap, sets that occur often enough there are looked up in the
    long lists by binary search.
 
 Components are labelled by minimum propagation over written tables. Nothing that grows
@@ -217,8 +218,8 @@ def _lists(postings: DataFrame) -> DataFrame:
     return postings.repartition("gram").sortWithinPartitions("gram", "cls").mapInArrow(rows, LISTED)
 
 
-def _candidate_sets(docs: DataFrame, lists: DataFrame) -> DataFrame:
-    """(cls, grams) of the classes on any list, by a bitmap of fixed size: a few others may come along."""
+def _candidate_sets(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(cls, grams) of the classes in any pair, by a bitmap of fixed size: a few others may come along."""
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = np.zeros(BITMAP, bool)
@@ -228,7 +229,7 @@ def _candidate_sets(docs: DataFrame, lists: DataFrame) -> DataFrame:
         for block, data in _blocks_out(np.packbits(bitmap)):
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([data], pa.binary())], ["block", "data"])
 
-    marks = _merged(lists.select("cls", "head").mapInArrow(bits, "block int, data binary"), "u1", np.bitwise_or)
+    marks = _merged(pairs.select("a", "b").mapInArrow(bits, "block int, data binary"), "u1", np.bitwise_or)
     if marks is None:
         marks = np.zeros(BITMAP // 8, np.uint8)
 
@@ -290,8 +291,15 @@ def divide_skip(query: np.ndarray, sets: list[np.ndarray]) -> list[bool]:
     return out
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of classes that link."""
+def _occurs_enough(a: str = "na", b: str = "nb", times: str = "times"):
+    """T-occurrence on the short lists: T less the long lists of the set that has more of them."""
+    long = lambda n: F.ceil(F.col(n) * 0.8 - 1e-6) - 1
+    return F.col(times) >= F.ceil(4 * (F.col(a) + F.col(b)) / 9 - 1e-6) - F.greatest(long(a), long(b))
+
+
+def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of classes that link, of a written table of candidates."""
+    sets = _candidate_sets(docs, pairs).dropDuplicates(["cls"])
     both = pairs.join(sets.select(F.col("cls").alias("a"), F.col("grams").alias("ga")), "a").join(sets.select(F.col("cls").alias("b"), F.col("grams").alias("gb")), "b")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -349,7 +357,10 @@ def _open_pairs(lists: DataFrame, labels: DataFrame | None) -> DataFrame:
                 p, q = np.nonzero(ok)
                 if len(p):
                     a, b = cls[x][p], cls[y][q]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+                    swap = a > b
+                    na, nb = n[x][p], n[y][q]
+                    columns = [np.where(swap, b, a), np.where(swap, a, b), np.where(swap, nb, na), np.where(swap, na, nb)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b", "na", "nb"])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
@@ -368,36 +379,38 @@ def _open_pairs(lists: DataFrame, labels: DataFrame | None) -> DataFrame:
         if held:
             yield from pairs_of([np.concatenate(x) for x in zip(*held, strict=True)])
 
-    return rows.repartition("gram").sortWithinPartitions("gram", "cls").mapInArrow(search, "a long, b long").distinct()
+    found = rows.repartition("gram").sortWithinPartitions("gram", "cls").mapInArrow(search, "a long, b long, na long, nb long")
+    return found.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("times")).where(_occurs_enough()).select("a", "b")
 
 
-def _indexed(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(members, lists, sets), as written tables."""
-    importable(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+def _indexed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(members, lists), as written tables."""
     first = written(_members(docs), "join-members")
     levels = list_levels(_merged(first.where(F.col("block").isNotNull()), "i8", np.add))
-    members = first.where(F.col("block").isNull()).select("doc_id", "n", "cls")
-    lists = written(_lists(_postings(docs, levels)), "join-lists")
-    return members, lists, written(_candidate_sets(docs, lists), "join-sets")
+    return first.where(F.col("block").isNull()).select("doc_id", "n", "cls"), written(_lists(_postings(docs, levels)), "join-lists")
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    importable(docs.sparkSession)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
 
 def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """All links (a, b) between classes, and the membership (doc_id, n, cls) of documents."""
-    members, lists, sets = _indexed(docs)
-    sets = sets.dropDuplicates(["cls"])
-    return _verified(_open_pairs(lists, None), sets), members
+    docs = _texts(docs)
+    members, lists = _indexed(docs)
+    return _verified(docs, written(_open_pairs(lists, None), "join-pairs")), members
 
 
 def components(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the least doc_id of those reachable by links)."""
-    members, lists, sets = _indexed(docs)
-    sets = written(sets.dropDuplicates(["cls"]), "join-distinct-sets")
-    may = (10 * F.least("n", "head_n") >= 8 * F.greatest("n", "head_n")) & (
-        9 * (F.least("pos", "head_pos") + F.least(F.col("n") - F.col("pos"), F.col("head_n") - F.col("head_pos"))) >= 4 * (F.col("n") + F.col("head_n")))
-    stars = lists.where(may).select(F.col("cls").alias("a"), F.col("head").alias("b")).distinct()
-    found = written(_verified(stars, sets), "join-links")
-    more = written(_verified(_open_pairs(lists, connected(found)), sets), "join-links")
+    docs = _texts(docs)
+    members, lists = _indexed(docs)
+    # Pairs with the first of a list; on a list where another class comes first the pair is not counted, so that some are left to the second step.
+    stars = lists.groupBy(F.col("cls").alias("a"), F.col("head").alias("b"), F.col("n").alias("na"), F.col("head_n").alias("nb")).agg(F.count(F.lit(1)).alias("times"))
+    stars = stars.where(_occurs_enough() & (10 * F.least("na", "nb") >= 8 * F.greatest("na", "nb"))).select("a", "b")
+    found = written(_verified(docs, written(stars, "join-pairs")), "join-links")
+    more = written(_verified(docs, written(_open_pairs(lists, connected(found)), "join-pairs")), "join-links")
     labels = connected(found.unionByName(more))
     least = members.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("low")).join(labels, "cls", "left").withColumn("root", F.coalesce("label", "cls"))
     roots = least.groupBy("root").agg(F.min("low").alias("component_id"))
