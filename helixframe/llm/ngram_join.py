@@ -188,7 +188,10 @@ LISTED = "gram long, cls long, n int, pos int, head long, head_n int, head_pos i
 
 
 def _lists(postings: DataFrame) -> DataFrame:
-    """Every posting but the first of its list, with that first one. Lists pass as a stream, in the order of (gram, cls)."""
+    """Every posting but the first of its list, with that first one. Lists pass as a stream, in the order of (gram, pos, cls).
+
+    First comes the class with the fewest shorter lists, which is the one nearest to the middle of a group of near copies.
+    """
     names = [c.split(" ")[0] for c in LISTED.split(", ")]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,7 +218,7 @@ def _lists(postings: DataFrame) -> DataFrame:
             columns = [gram, cls, n, pos, heads[0], heads[1].astype(np.int32), heads[2].astype(np.int32)]
             yield pa.RecordBatch.from_arrays([pa.array(c[~begins]) for c in columns], names)
 
-    return postings.repartition("gram").sortWithinPartitions("gram", "cls").mapInArrow(rows, LISTED)
+    return postings.repartition("gram").sortWithinPartitions("gram", "pos", "cls").mapInArrow(rows, LISTED)
 
 
 def _candidate_sets(docs: DataFrame, pairs: DataFrame) -> DataFrame:
