@@ -12,8 +12,8 @@ which is a Jaccard similarity of 0.8.
 2. Search. Lists are read in order, as a stream. First each member is only paired with
    the list's first one, which joins large groups of near copies without listing
    their pairs; then pairs of members that are not yet in one component are taken, all of
-   them, so that no link between components is missed. A pair is a candidate if sizes and
-   positions allow the overlap and if it occurs on T less the number of long lists, or more, of the
+   them, so that no link between components is missed. A pair is a candidate if sizes,
+   positions and parity signatures allow the overlap and if it occurs on T less the number of long lists, or more, of the
    short ones.
 3. Each candidate pair's overlap is decided by DivideSkip on its whole sets (see divide_skip): the
    short lists are merged with a heap, sets that occur often enough there are looked up in the
@@ -54,7 +54,9 @@ BLOCKS = 64
 #: DivideSkip's cost ratio between merging and probing.
 MU = 0.0085
 #: Postings of one list that are compared with as many at a time.
-BLOCK = 1024
+BLOCK = 512
+#: Bits of a class's parity signature: bit i says whether an odd number of its shingles hash to i.
+SIGNATURE = 512
 
 
 def needed(n, m):
@@ -89,6 +91,15 @@ def class_of(grams: np.ndarray) -> int:
     return int(K.mix(np.array([total]))[0].view(np.int64))
 
 
+def signature(grams: np.ndarray) -> bytes:
+    return np.packbits(np.bincount((grams & np.uint64(SIGNATURE - 1)).astype(np.int64), minlength=SIGNATURE) & 1).tobytes()
+
+
+def may_differ(n, m):
+    """Most shingles that linked sets of n and m do not share; signatures differ in no more bits than that."""
+    return n + m - 2 * needed(n, m)
+
+
 def _blocks_out(whole: np.ndarray) -> Iterator[tuple[int, bytes]]:
     for i, part in enumerate(np.split(whole, BLOCKS)):
         if part.any():
@@ -117,7 +128,10 @@ def _merged(parts: DataFrame, dtype: str, join) -> np.ndarray | None:
 
 
 def _members(docs: DataFrame) -> DataFrame:
-    """A row (doc_id, n, cls) per document, and rows (block, data) of the sketch."""
+    """A row (doc_id, n, cls, data) per document, and rows (block, data) of the sketch.
+
+    A document's data is its class's signature, at its first document in each task.
+    """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(SKETCH, np.int64)
@@ -125,16 +139,17 @@ def _members(docs: DataFrame) -> DataFrame:
         names = ["doc_id", "n", "cls", "block", "data"]
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary()]
         for batch in batches:
-            sizes, classes = [], []
+            sizes, classes, signatures = [], [], []
             for grams in shingle_sets(batch.column(1)):
                 c = class_of(grams) if len(grams) else None
+                signatures.append(signature(grams) if c is not None and c not in seen else None)
                 if c is not None and c not in seen:
                     seen.add(c)
                     np.add.at(sketch, (grams >> np.uint64(40)).astype(np.int64) & (SKETCH - 1), 1)
                 sizes.append(len(grams))
                 classes.append(c)
             n = batch.num_rows
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, kinds[1]), pa.array(classes, kinds[2]), pa.nulls(n, kinds[3]), pa.nulls(n, kinds[4])], names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, kinds[1]), pa.array(classes, kinds[2]), pa.nulls(n, kinds[3]), pa.array(signatures, kinds[4])], names)
         for block, data in _blocks_out(sketch):
             yield pa.RecordBatch.from_arrays([pa.nulls(1, kinds[0]), pa.nulls(1, kinds[1]), pa.nulls(1, kinds[2]), pa.array([block], kinds[3]), pa.array([data], kinds[4])], names)
 
@@ -337,7 +352,7 @@ def connected(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _open_pairs(lists: DataFrame, labels: DataFrame | None) -> DataFrame:
+def _open_pairs(lists: DataFrame, members: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Candidate pairs (a, b) on one list whose labels differ; all candidate pairs if there are no labels."""
     if labels is None:
         rows = lists.withColumn("label", F.col("cls")).withColumn("head_label", F.col("head"))
@@ -346,10 +361,12 @@ def _open_pairs(lists: DataFrame, labels: DataFrame | None) -> DataFrame:
         rows = rows.withColumn("label", F.coalesce("label", "cls")).withColumn("head_label", F.coalesce("head_label", "head"))
         rows = rows.join(rows.where("label != head_label").select("gram").distinct(), "gram", "left_semi")
     heads = rows.groupBy("gram").agg(F.first("head").alias("cls"), F.first("head_n").alias("n"), F.first("head_pos").alias("pos"), F.first("head_label").alias("label"))
-    rows = rows.select("gram", "cls", "n", "pos", "label").unionByName(heads)
+    signatures = members.where("signature is not null").groupBy("cls").agg(F.first("signature").alias("signature"))
+    rows = rows.select("gram", "cls", "n", "pos", "label").unionByName(heads).join(signatures, "cls")
+    rows = rows.select("gram", "cls", "n", "pos", "label", "signature")
 
     def pairs_of(members: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        cls, n, pos, label = members
+        cls, n, pos, label, marks = members
         n, pos = n.astype(np.int64), pos.astype(np.int64)
         for i in range(0, len(cls), BLOCK):
             for j in range(i, len(cls), BLOCK):
@@ -358,10 +375,12 @@ def _open_pairs(lists: DataFrame, labels: DataFrame | None) -> DataFrame:
                 if i == j:
                     ok = np.triu(ok, 1)
                 p, q = np.nonzero(ok)
+                na, nb = n[x][p], n[y][q]
+                near = np.bitwise_count(marks[x][p] ^ marks[y][q]).sum(axis=1) <= may_differ(na, nb)
+                p, q, na, nb = p[near], q[near], na[near], nb[near]
                 if len(p):
                     a, b = cls[x][p], cls[y][q]
                     swap = a > b
-                    na, nb = n[x][p], n[y][q]
                     columns = [np.where(swap, b, a), np.where(swap, a, b), np.where(swap, nb, na), np.where(swap, na, nb)]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b", "na", "nb"])
 
@@ -370,6 +389,7 @@ def _open_pairs(lists: DataFrame, labels: DataFrame | None) -> DataFrame:
         gram = None
         for batch in batches:
             columns = [batch.column(i).to_numpy() for i in range(5)]
+            columns.append(np.frombuffer(b"".join(batch.column(5).to_pylist()), np.uint64).reshape(-1, SIGNATURE // 64))
             edges = np.flatnonzero(np.diff(columns[0])) + 1
             for lo, hi in zip([0, *edges.tolist()], [*edges.tolist(), len(columns[0])], strict=True):
                 if lo == hi:
@@ -390,7 +410,7 @@ def _indexed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(members, lists), as written tables."""
     first = written(_members(docs), "join-members")
     levels = list_levels(_merged(first.where(F.col("block").isNotNull()), "i8", np.add))
-    return first.where(F.col("block").isNull()).select("doc_id", "n", "cls"), written(_lists(_postings(docs, levels)), "join-lists")
+    return first.where(F.col("block").isNull()).select("doc_id", "n", "cls", F.col("data").alias("signature")), written(_lists(_postings(docs, levels)), "join-lists")
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -402,7 +422,7 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """All links (a, b) between classes, and the membership (doc_id, n, cls) of documents."""
     docs = _texts(docs)
     members, lists = _indexed(docs)
-    return _verified(docs, written(_open_pairs(lists, None), "join-pairs")), members
+    return _verified(docs, written(_open_pairs(lists, members, None), "join-pairs")), members.drop("signature")
 
 
 def components(docs: DataFrame) -> DataFrame:
@@ -413,7 +433,7 @@ def components(docs: DataFrame) -> DataFrame:
     stars = lists.groupBy(F.col("cls").alias("a"), F.col("head").alias("b"), F.col("n").alias("na"), F.col("head_n").alias("nb")).agg(F.count(F.lit(1)).alias("times"))
     stars = stars.where(_occurs_enough() & (10 * F.least("na", "nb") >= 8 * F.greatest("na", "nb"))).select("a", "b")
     found = written(_verified(docs, written(stars, "join-pairs")), "join-links")
-    more = written(_verified(docs, written(_open_pairs(lists, connected(found)), "join-pairs")), "join-links")
+    more = written(_verified(docs, written(_open_pairs(lists, members, connected(found)), "join-pairs")), "join-links")
     labels = connected(found.unionByName(more))
     least = members.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("low")).join(labels, "cls", "left").withColumn("root", F.coalesce("label", "cls"))
     roots = least.groupBy("root").agg(F.min("low").alias("component_id"))
