@@ -95,7 +95,7 @@ def run_lengths(df: DataFrame, keys: list[str], pos: str, value: str) -> DataFra
 
 def assign_gaps(blocks: DataFrame) -> DataFrame:
     """Fill the gaps between consecutive typed blocks (chrom, start, end, kind): with the common kind, or split in the middle."""
-    order = W.partitionBy("chrom").orderBy("start", "end")
+    order = W.partitionBy("chrom").orderBy("start", "end", "kind")
     gaps = blocks.withColumn("p_end", F.lag("end").over(order)).withColumn("p_kind", F.lag("kind").over(order)).where("p_end < start")
     mid = F.floor((F.col("p_end") + F.col("start")) / 2)
     parts = F.when(F.col("kind") == F.col("p_kind"), F.array(F.struct(F.col("p_end").alias("s"), F.col("start").alias("e"), F.col("kind").alias("k")))).otherwise(

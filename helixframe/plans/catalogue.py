@@ -125,7 +125,14 @@ def _(spark, d):
     return frame(spark, d, "reads").where(F.length("seq") >= 100).select("doc_id", F.length("seq").cast("long").alias("len"))
 
 
-_KMERS = ctes("reads") + f", k AS (SELECT doc_id, lang, source, unnest([substr(seq, i, {K}) FOR i IN range(1, CAST(length(seq) - {K} + 2 AS BIGINT))]) AS kmer FROM reads)"
+def _kmer_ctes(k: int) -> str:
+    """CTE k: the k-mers of all reads, with their positions from 0."""
+    letters = ", ".join(["c", *[f"lead(c, {i}) OVER w" for i in range(1, k)]])
+    return ctes("reads") + f""", l AS (SELECT doc_id, lang, unnest(string_split(seq, '')) AS c, generate_subscripts(string_split(seq, ''), 1) AS pos FROM reads),
+  x AS (SELECT doc_id, lang, pos - 1 AS pos, concat({letters}) AS kmer FROM l WINDOW w AS (PARTITION BY doc_id ORDER BY pos)), k AS (SELECT * FROM x WHERE length(kmer) = {k})"""
+
+
+_KMERS = _kmer_ctes(K)
 
 
 @query("kmer_count", _KMERS + " SELECT lang, kmer, count(*) AS cnt FROM k GROUP BY ALL")
@@ -153,8 +160,8 @@ def _(spark, d):
     return counts.join(marks, "kmer").groupBy("doc_id", "lang").agg(F.sum(F.col("c") + F.col("cnt")).alias("score"))
 
 
-@query("minimizers", ctes("reads") + """, k AS (SELECT doc_id, i - 1 AS pos, substr(seq, CAST(i AS BIGINT), 15) AS kmer FROM (SELECT doc_id, seq, unnest(range(1, CAST(length(seq) - 13 AS BIGINT))) AS i FROM reads)),
-  m AS (SELECT doc_id, min((kmer, pos)) OVER w AS m, count(*) OVER w AS n FROM k WINDOW w AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING)) SELECT DISTINCT doc_id, m[2] AS pos, m[1] AS kmer FROM m WHERE n = 10""")
+@query("minimizers", _kmer_ctes(15) + """, m AS (SELECT doc_id, min(concat(kmer, lpad(CAST(pos AS string), 9, '0'))) OVER w AS m, count(*) OVER w AS n FROM k WINDOW w AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING))
+  SELECT DISTINCT doc_id, CAST(substr(m, 16) AS BIGINT) AS pos, substr(m, 1, 15) AS kmer FROM m WHERE n = 10""")
 def _(spark, d):
     return sequence.minimizers(frame(spark, d, "reads"), 15, 10)
 
@@ -361,8 +368,8 @@ def _(spark, d):
     return t.withColumn("rk", F.row_number().over(W.partitionBy("conv_id", "role").orderBy("turn", "text"))).where("rk = 1").select("conv_id", "role", "text")
 
 
-@query("redundancy_components", ctes("calls") + """, RECURSIVE_PLACEHOLDER""".replace(", RECURSIVE_PLACEHOLDER", """, e AS (SELECT a.svid AS a, b.svid AS b FROM calls a JOIN calls b ON a.chrom = b.chrom AND a.svtype = b.svtype AND a.svid <> b.svid AND abs(a.pos - b.pos) <= 500 AND least(a.svlen, b.svlen) * 2 >= greatest(a.svlen, b.svlen)),
-  r AS (SELECT DISTINCT a AS node, a AS seen FROM e UNION SELECT r.node, e.b FROM r JOIN e ON r.seen = e.a) SELECT node, min(seen) AS label FROM r GROUP BY node""").replace("WITH ", "WITH RECURSIVE ", 1))
+@query("redundancy_components", ctes("calls").replace("WITH ", "WITH RECURSIVE ", 1) + """, e AS (SELECT a.svid AS a, b.svid AS b FROM calls a JOIN calls b ON a.chrom = b.chrom AND a.svtype = b.svtype AND a.svid <> b.svid AND abs(a.pos - b.pos) <= 500
+  AND least(a.svlen, b.svlen) * 2 >= greatest(a.svlen, b.svlen)), r AS (SELECT DISTINCT a AS node, a AS seen FROM e UNION SELECT r.node, e.b FROM r JOIN e ON r.seen = e.a) SELECT node, min(seen) AS label FROM r GROUP BY node""")
 def _(spark, d):
     calls = frame(spark, d, "calls").select("svid", "chrom", "svtype", "pos", "svlen")
     points = calls.select(F.col("svid").alias("b"), F.col("chrom").alias("p_chrom"), F.col("svtype").alias("p_type"), F.col("pos").alias("p_pos"), F.col("svlen").alias("p_len"))
