@@ -16,7 +16,7 @@ def parse(text: Column) -> Column:
     """A CIGAR string as an array of (op, len)."""
     pattern = F.lit(r"(\d+)([MIDNSHP=X])")
     pairs = F.arrays_zip(F.regexp_extract_all(text, pattern, F.lit(2)).alias("o"), F.regexp_extract_all(text, pattern, F.lit(1)).alias("l"))
-    return F.transform(pairs, lambda x: F.struct((F.charindex(x["o"], F.lit(LETTERS)) - 1).alias("op"), x["l"].cast("int").alias("len")))
+    return F.transform(pairs, lambda x: F.struct((F.position(x["o"], F.lit(LETTERS)) - 1).alias("op"), x["l"].cast("int").alias("len")))
 
 
 def indels(ops: DataFrame, least: int, key: str = "aln") -> DataFrame:
