@@ -29,6 +29,9 @@ N = 4
 BUCKETS = 1 << 16
 #: Added to every bucket of both models.
 SMOOTHING = 0.5
+#: Log ratios are moved towards 0 by so many nats, and to 0 within it: chance differences between the two
+#: models' mixes of languages are of that size in small corpora, and apply to every n-gram of a text.
+MARGIN = 0.5
 #: At most so many labelled rows name the trusted target (a bounded sample, see labelled_sample).
 MAX_LABELLED = 200_000
 
@@ -73,7 +76,7 @@ def count_grams(docs: DataFrame, text: str = "text", target: str = "is_target")
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = MAX_LABELLED) -> np.ndarray:
-    """Per bucket, log p(target) - log p(raw). Trusted are the rows of docs whose label is 1."""
+    """Per bucket, log p(target) - log p(raw), less the margin. Trusted are the rows of docs whose label is 1."""
     trusted = labelled_sample(labels, label, most, F.col(label) == 1).select(F.col("doc_id").alias("_trusted"))
     marked = docs.select("doc_id", "text").join(F.broadcast(trusted), F.col("doc_id") == F.col("_trusted"), "left")
     counts = np.zeros((2, BUCKETS))
@@ -83,7 +86,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int =
         return np.zeros(BUCKETS)
     smooth = counts + SMOOTHING
     target, raw = np.log(smooth / smooth.sum(axis=1, keepdims=True))
-    return target - raw
+    ratios = target - raw
+    return np.sign(ratios) * np.maximum(np.abs(ratios) - MARGIN, 0)
 
 
 def gram_scores(ratios: np.ndarray, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
