@@ -1,7 +1,9 @@
 """Quality classifier: importance resampling of the raw corpus towards a trusted target.
 
 A document's log importance weight is the log ratio of the two hashed n-gram
-generative models, summed over its n-grams.  Gumbel top-k then samples without
+generative models, tempered to the evidence of EVIDENCE n-grams: the summed ratio times
+EVIDENCE / (EVIDENCE + n-grams), so that small differences do not add up over a long
+text until it is rejected.  Gumbel top-k then samples without
 replacement in proportion to the weights: of all documents the k with the
 largest log weight plus Gumbel noise are kept.  The noise is drawn from the id,
 so that reruns agree.  k is a number, or by default the number of documents
@@ -28,8 +30,10 @@ from pyspark.sql import functions as F
 from helixframe.llm import ngram_models as M
 from helixframe.llm.common import documents, importable, labels
 
-#: Documents less likely than this against the raw model (in nats, over the whole text) do not count towards k.
-MIN_LOG_WEIGHT = -40.0
+#: The n-grams whose evidence a long text has.
+EVIDENCE = 64
+#: Documents of a smaller log weight (in nats; a mean of -1/16 an n-gram in long texts) do not count towards k.
+MIN_LOG_WEIGHT = -4.0
 SEED = 7
 #: Keys are ordered as integers in these steps.
 STEPS_PER_NAT = 1 << 20
@@ -47,8 +51,8 @@ def gumbel(column: pa.Array, seed: int = SEED) -> np.ndarray:
 
 def _keys(ratios: np.ndarray, ids: pa.Array, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     sums, counts = M.column_scores(ratios, texts)
-    sums = np.round(sums, 6)
-    return sums, counts, np.floor((sums + gumbel(ids)) * STEPS_PER_NAT).astype(np.int64)
+    weights = np.round(sums * EVIDENCE / (EVIDENCE + counts), 6)
+    return weights, counts, np.floor((weights + gumbel(ids)) * STEPS_PER_NAT).astype(np.int64)
 
 
 def importance_keys(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
@@ -57,8 +61,8 @@ def importance_keys(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sums, counts, keys = _keys(ratios, batch.column(0), batch.column(1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sums), pa.array(counts), pa.array(keys)], ["doc_id", "log_weight", "n_grams", "key"])
+            weights, counts, keys = _keys(ratios, batch.column(0), batch.column(1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(weights), pa.array(counts), pa.array(keys)], ["doc_id", "log_weight", "n_grams", "key"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(score, "doc_id long, log_weight double, n_grams long, key long")
 
