@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from helixframe.operators.intervals import band_join, overlap_join
+from helixframe.operators.intervals import TILE, band_join, joined_tiles, overlap_join
 
 #: Genotype thresholds on the support ratio by size (up to 1000, larger) and called genotype; fixed values.
 DEL_THRESHOLDS = {"small_het": 0.60, "small_hom": 0.69, "large_het": 0.71, "large_hom": 0.91}
@@ -78,11 +78,20 @@ def median_ratio_filter(table: DataFrame, key: str, value: str, low: float, high
     return table.join(F.broadcast(medians), key).where((F.col(value) >= low * F.col("median")) & (F.col(value) <= high * F.col("median")))
 
 
-def gap_partitions(df: DataFrame, keys: list[str], gap: int) -> DataFrame:
-    """Number the stretches of rows of equal keys whose positions are at most gap apart."""
-    order = W.partitionBy(*keys).orderBy("pos", "svlen", "qname")
+def gap_partitions(df: DataFrame, keys: list[str], gap: int, tile: int = TILE) -> DataFrame:
+    """Number (from 1) the stretches of rows of equal keys whose positions are at most gap apart.
+
+    Rows are sorted within tiles only; the tiles' first and last positions tell which stretches go on.
+    """
+    rows = df.withColumn("_tile", F.floor(F.col("pos") / tile))
+    order = W.partitionBy(*keys, "_tile").orderBy("pos")
     new = F.when((F.col("pos") - F.lag("pos").over(order)) <= gap, 0).otherwise(1)
-    return df.withColumn("_new", new).withColumn("part", F.sum("_new").over(order.rowsBetween(W.unboundedPreceding, 0))).drop("_new")
+    rows = rows.withColumn("_new", new).withColumn("_local", F.sum("_new").over(order))
+    tiles = rows.groupBy(*keys, "_tile").agg(F.min("pos").alias("_first"), F.max("pos").alias("_last"), F.sum("_new").alias("_n"))
+    across = W.partitionBy(*keys).orderBy("_tile")
+    tiles = tiles.withColumn("_goes_on", F.when(F.col("_first") - F.lag("_last").over(across) <= gap, 1).otherwise(0))
+    tiles = tiles.withColumn("_before", F.sum(F.col("_n") - F.col("_goes_on")).over(across.rowsBetween(W.unboundedPreceding, 0)) - F.col("_n"))
+    return joined_tiles(rows, tiles.drop("_first", "_last", "_n", "_goes_on"), keys).withColumn("part", F.col("_local") + F.col("_before")).drop("_new", "_local", "_before", "_tile")
 
 
 def components(edges: DataFrame, rounds: int = 50) -> DataFrame:

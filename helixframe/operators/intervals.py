@@ -78,13 +78,30 @@ def complement(blocks: DataFrame, contigs: DataFrame) -> DataFrame:
     return subtract(whole, blocks, "chrom_key") if "chrom_key" in contigs.columns else subtract(whole.withColumn("key", F.col("chrom")), blocks, "key").drop("key")
 
 
-def depth(blocks: DataFrame) -> DataFrame:
-    """(chrom, start, end, depth) of the stretches of equal cover, without stretches of none."""
+def joined_tiles(rows: DataFrame, tiles: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with the columns of their tile's summary; null keys match."""
+    names = [*keys, "_tile"]
+    tiles = tiles.select(*[F.col(k).alias(f"_of_{k}") for k in names], *[c for c in tiles.columns if c not in names])
+    on = F.lit(True)
+    for k in names:
+        on = on & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
+    return rows.join(tiles, on).drop(*[f"_of_{k}" for k in names])
+
+
+def depth(blocks: DataFrame, tile: int = TILE) -> DataFrame:
+    """(chrom, start, end, depth) of the stretches of equal cover, without stretches of none.
+
+    Steps are summed within tiles, to which the sums of the tiles before are added; no chromosome is sorted whole.
+    """
     ends = blocks.select("chrom", F.explode(F.array(F.struct(F.col("start").alias("at"), F.lit(1).alias("d")), F.struct(F.col("end").alias("at"), F.lit(-1).alias("d")))).alias("e"))
-    steps = ends.groupBy("chrom", F.col("e.at").alias("start")).agg(F.sum("e.d").alias("d")).where("d <> 0")
-    order = W.partitionBy("chrom").orderBy("start")
-    out = steps.withColumn("depth", F.sum("d").over(order.rowsBetween(W.unboundedPreceding, 0))).withColumn("end", F.lead("start").over(order))
-    return out.where("depth > 0").select("chrom", "start", "end", "depth")
+    steps = ends.groupBy("chrom", F.col("e.at").alias("start")).agg(F.sum("e.d").alias("d")).where("d <> 0").withColumn("_tile", F.floor(F.col("start") / tile))
+    order = W.partitionBy("chrom", "_tile").orderBy("start")
+    across = W.partitionBy("chrom").orderBy("_tile")
+    local = steps.withColumn("_sum", F.sum("d").over(order)).withColumn("_next", F.lead("start").over(order))
+    tiles = steps.groupBy("chrom", "_tile").agg(F.sum("d").alias("_d"), F.min("start").alias("_first"))
+    tiles = tiles.select("chrom", "_tile", F.coalesce(F.sum("_d").over(across.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"), F.lead("_first").over(across).alias("_after"))
+    out = joined_tiles(local, tiles, ["chrom"])
+    return out.select("chrom", "start", F.coalesce("_next", "_after").alias("end"), (F.col("_sum") + F.col("_before")).alias("depth")).where("depth > 0")
 
 
 def run_lengths(df: DataFrame, keys: list[str], pos: str, value: str) -> DataFrame:

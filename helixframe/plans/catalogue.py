@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from helixframe.operators import calling, cigar, intervals, sequence
+from helixframe.operators import calling, cigar, greedy, intervals, sequence
 from helixframe.plans.adapters import ctes, frame
+from helixframe.sources import formats
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -375,3 +376,45 @@ def _(spark, d):
     points = calls.select(F.col("svid").alias("b"), F.col("chrom").alias("p_chrom"), F.col("svtype").alias("p_type"), F.col("pos").alias("p_pos"), F.col("svlen").alias("p_len"))
     near = intervals.band_join(calls, points, F.lit(500), 2000).where("svtype = p_type AND svid < b AND least(svlen, p_len) * 2 >= greatest(svlen, p_len)")
     return calling.components(near.select(F.col("svid").alias("a"), "b"))
+
+
+@query("seed_clusters")
+def _(spark, d):
+    return greedy.seed_clusters(frame(spark, d, "sigs"))
+
+
+@query("hap_pair")
+def _(spark, d):
+    """Haplotype pairing of the clustered signatures of both haplotypes; SQL has no greedy matching."""
+    clusters = greedy.seed_clusters(frame(spark, d, "sigs"))
+    return greedy.pair_haplotypes(clusters.where("hp = 'hp1'"), clusters.where("hp = 'hp2'"))
+
+
+_SEGMENTS = ctes("cigar") + """, m AS (SELECT *, coalesce(sum(CASE WHEN op IN (0,2,3,7,8) THEN len ELSE 0 END) OVER w, 0) AS r, coalesce(sum(CASE WHEN op IN (0,1,4,7,8) THEN len ELSE 0 END) OVER w, 0) AS q
+  FROM cigar WINDOW w AS (PARTITION BY aln ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)), seg AS (SELECT aln, op, r AS r_start, r + len AS r_end, q AS q_start, q + len AS q_end FROM m WHERE op IN (0, 7, 8) AND len > 0)"""
+
+
+@query("cigar_segments", _SEGMENTS + " SELECT aln, CAST(r_start AS BIGINT) AS r_start, CAST(r_end AS BIGINT) AS r_end, CAST(q_start AS BIGINT) AS q_start, CAST(q_end AS BIGINT) AS q_end FROM seg")
+def _(spark, d):
+    return cigar.segments(frame(spark, d, "cigar")).drop("op")
+
+
+@query("liftover", _SEGMENTS + """, b AS (SELECT DISTINCT aln, aln % 40 AS s, aln % 40 + 30 AS e FROM cigar)
+  SELECT b.aln AS aln, CAST(min(greatest(s, r_start)) AS BIGINT) AS from_start, CAST(max(least(e, r_end)) AS BIGINT) AS from_end, CAST(min(greatest(s, r_start) + q_start - r_start) AS BIGINT) AS to_start,
+  CAST(max(least(e, r_end) + q_start - r_start) AS BIGINT) AS to_end, CAST(sum(least(e, r_end) - greatest(s, r_start)) AS BIGINT) AS n_aligned FROM b JOIN seg ON b.aln = seg.aln AND s < r_end AND r_start < e GROUP BY b.aln""")
+def _(spark, d):
+    ops = frame(spark, d, "cigar")
+    blocks = ops.select("aln", F.col("aln").alias("block"), (F.col("aln") % 40).alias("start"), (F.col("aln") % 40 + 30).alias("end")).distinct()
+    return cigar.lift(blocks, cigar.segments(ops), "block").drop("block")
+
+
+@query("chunk_sequences", ctes("reads") + """, c AS (SELECT doc_id, seq, unnest(range(1, CAST(greatest(ceil(length(seq) / 1000), 1) AS BIGINT) + 1)) AS chunk FROM reads)
+  SELECT doc_id, chunk, substr(seq, (chunk - 1) * 1000 + 1, 1010) AS seq FROM c""")
+def _(spark, d):
+    reads = frame(spark, d, "reads").select(F.col("doc_id").alias("name"), "seq")
+    return formats.chunks(reads, 1000, 10).select(F.col("name").alias("doc_id"), "chunk", "seq")
+
+
+@query("contig_header", ctes("contigs") + "SELECT chrom, concat('##contig=<ID=', chrom, ',length=', length, '>') AS line FROM contigs WHERE regexp_full_match(chrom, 'chr[0-9]')")
+def _(spark, d):
+    return formats.contig_header(frame(spark, d, "contigs"), "chr[0-9]")
