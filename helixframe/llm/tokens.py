@@ -111,25 +111,35 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.slots: dict[int, int] = {}
+        self.keys = np.zeros(0, np.uint64)  # sorted hashes of the known pre-tokens, and the slot of each
+        self.slots = np.zeros(0, np.int64)
         self.ids = np.zeros(1 << 16, np.uint32)
-        self.starts = np.zeros(1 << 16, np.int64)
+        self.starts = np.zeros(1, np.int64)
         self.used = 0
 
-    def _learn(self, keys: list[int], texts: list[str]) -> None:
-        if len(self.slots) + len(keys) > len(self.starts) - 1:
-            self.starts = np.concatenate([self.starts, np.zeros(len(self.starts) + len(keys), np.int64)])
-        for i in range(0, len(keys), 4096):
-            for key, got in zip(keys[i : i + 4096], self.library.encode_batch_fast(texts[i : i + 4096], add_special_tokens=False), strict=True):
+    def _learn(self, keys: np.ndarray, places: np.ndarray, texts: list[str]) -> None:
+        """Encode new pre-tokens; places: where their sorted keys go among the known ones."""
+        lengths, flat = [], []
+        for i in range(0, len(texts), 4096):
+            for got in self.library.encode_batch_fast(texts[i : i + 4096], add_special_tokens=False):
                 ids = got.ids
-                if self.used + len(ids) > len(self.ids):
-                    self.ids = np.concatenate([self.ids, np.zeros(len(self.ids) + len(ids), np.uint32)])
-                self.ids[self.used : self.used + len(ids)] = ids
-                slot = len(self.slots)
-                self.slots[key] = slot
-                self.starts[slot] = self.used
-                self.used += len(ids)
-                self.starts[slot + 1] = self.used
+                lengths.append(len(ids))
+                flat += ids
+        if self.used + len(flat) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(len(self.ids) + len(flat), np.uint32)])
+        self.ids[self.used : self.used + len(flat)] = flat
+        slots = len(self.keys) + np.arange(len(keys))
+        self.starts = np.concatenate([self.starts, self.used + np.cumsum(lengths)])
+        self.used += len(flat)
+        self.keys = np.insert(self.keys, places, keys)
+        self.slots = np.insert(self.slots, places, slots)
+
+    def _slots(self, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where sorted hashes stand, or would, among the known ones; and whether they are known."""
+        places = np.searchsorted(self.keys, kinds)
+        if not len(self.keys):
+            return places, np.zeros(len(kinds), bool)
+        return places, self.keys[np.minimum(places, len(self.keys) - 1)] == kinds
 
     def slice(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all rows, end to end, and the ids in each row."""
@@ -145,14 +155,15 @@ class Encoder:
         ends = np.append(begins[1:], len(data))
         hashes = K.span_hashes(data, begins, ends)
         kinds, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.slots) + len(kinds) > MOST_REMEMBERED:
+        if len(self.keys) + len(kinds) > MOST_REMEMBERED:
             self.forget()
-        known = self.slots
-        keys = kinds.tolist()
-        missing = [i for i, key in enumerate(keys) if key not in known]
-        if missing:
-            self._learn([keys[i] for i in missing], [raw[begins[first[i]] : ends[first[i]]].decode("utf-8") for i in missing])
-        slots = np.fromiter((known[key] for key in keys), np.int64, len(keys))
+        places, known = self._slots(kinds)
+        if not known.all():
+            new = np.flatnonzero(~known)
+            texts = [raw[x:y].decode("utf-8") for x, y in zip(begins[first[new]].tolist(), ends[first[new]].tolist(), strict=True)]
+            self._learn(kinds[new], places[new], texts)
+            places, _ = self._slots(kinds)
+        slots = self.slots[places]
         lengths = (self.starts[slots + 1] - self.starts[slots])[which]
         upto = np.cumsum(lengths)
         ids = self.ids[np.repeat(self.starts[slots][which] - (upto - lengths), lengths) + np.arange(upto[-1])]
