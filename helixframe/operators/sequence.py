@@ -11,10 +11,20 @@ def reverse_complement(seq: Column) -> Column:
     return F.translate(F.reverse(F.upper(seq)), "ACGT", "TGCA")
 
 
+#: Letters of the pieces that kmers() cuts a sequence into; a window is sought from its piece's start.
+PIECE = 256
+
+
 def kmers(seq: Column, k: int, include_last: bool = True) -> Column:
-    """All windows of k letters; the read-hashing variant leaves out the last one."""
+    """All windows of k letters, in order; the read-hashing variant leaves out the last one.
+
+    The sequence is cut into overlapping pieces first, so that the work does not grow with the square of its length.
+    """
     last = F.length(seq) - k + (1 if include_last else 0)
-    return F.when(last >= 1, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.substring(seq, i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
+    starts = F.sequence(F.lit(1), F.greatest(last, F.lit(1)), F.lit(PIECE))
+    pieces = F.transform(starts, lambda i: F.substring(seq, i, F.least(F.lit(PIECE), last - i + 1) + (k - 1)))
+    windows = F.flatten(F.transform(pieces, lambda p: F.transform(F.sequence(F.lit(1), F.length(p) - (k - 1)), lambda i: F.substring(p, i, F.lit(k)))))
+    return F.when(last >= 1, windows).otherwise(F.array().cast("array<string>"))
 
 
 def pack(kmer: Column) -> Column:
