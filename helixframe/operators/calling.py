@@ -94,8 +94,13 @@ def gap_partitions(df: DataFrame, keys: list[str], gap: int, tile: int = TILE) -
     return joined_tiles(rows, tiles.drop("_first", "_last", "_n", "_goes_on"), keys).withColumn("part", F.col("_local") + F.col("_before")).drop("_new", "_local", "_before", "_tile")
 
 
-def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
-    """(node, label): the least node of each component of edges (a, b). Each round is checkpointed."""
+def components(edges: DataFrame) -> DataFrame:
+    """(node, label): the least node of each component of edges (a, b). Each round is checkpointed.
+
+    A node takes the least of its label, its neighbours' labels and its label's label; the neighbours' least label also goes to
+    the node's label, so that whole trees are hooked and rounds grow with the logarithm of a component's diameter.
+    Labels only fall, and the loop ends when none does: then all ends of edges agree.
+    """
     spark = edges.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         import tempfile
@@ -103,11 +108,12 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
         spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="helixframe-"))
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
     labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("label")).checkpoint()
-    for _ in range(rounds):
+    while True:
         near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("far"))
-        new = labels.join(near, "node").join(jump, "label", "left").select("node", F.col("label").alias("was"), F.least("label", "near", "far").alias("label")).checkpoint()
-        if new.where("was <> label").isEmpty():
-            break
+        own = labels.join(near, "node").join(jump, "label", "left").select("node", "label", F.least("label", "near", "far").alias("least"), "near")
+        offers = F.array(F.struct("node", F.col("label").alias("was"), F.col("least").alias("label")), F.struct(F.col("label").alias("node"), F.lit(None).alias("was"), F.col("near").alias("label")))
+        new = own.select(F.explode(offers).alias("o")).select("o.*").groupBy("node").agg(F.min("was").alias("was"), F.min("label").alias("label")).checkpoint()
         labels = new.drop("was")
-    return labels
+        if new.where("was <> label").isEmpty():
+            return labels
