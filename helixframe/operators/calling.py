@@ -7,10 +7,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from helixframe.operators.intervals import TILE, band_join, joined_tiles, overlap_join
+from helixframe.operators.sequence import edit_similarity
 
 #: Genotype thresholds on the support ratio by size (up to 1000, larger) and called genotype; fixed values.
 DEL_THRESHOLDS = {"small_het": 0.60, "small_hom": 0.69, "large_het": 0.71, "large_hom": 0.91}
 
+#: The reference's HiFi thresholds of both types; a null one leaves the genotype.
+HIFI_THRESHOLDS = {"DEL": {"small_het": 0.91, "small_hom": 0.69, "large_het": 0.71, "large_hom": 0.60}, "INS": {"small_het": 0.79, "small_hom": 0.59, "large_het": 0.63, "large_hom": None}}
+
 
 def _points(sigs: DataFrame) -> DataFrame:
     return sigs.select(F.col("chrom").alias("p_chrom"), F.col("pos").alias("p_pos"), F.col("svlen").alias("p_len"), F.col("svtype").alias("p_type"), F.col("n").alias("p_n"))
@@ -50,6 +54,40 @@ def correct_genotypes(calls: DataFrame, sigs: DataFrame, alns: DataFrame) -> Dat
     return both.withColumn("n_ratio", ratio).withColumn("new_gt", corrected_genotype(F.col("n_ratio"), F.col("svlen"), F.col("gt")))
 
 
+def spanning_depth_by_type(calls: DataFrame, alns: DataFrame) -> DataFrame:
+    """Alignments (n_cov, a double) past both sides of each call: of insertions, 100 about the start; of deletions up to 1000, the
+    whole deletion; of larger ones, the mean over a probe of 100 that starts 150 before the start and one 150 past the end."""
+    probe = lambda at, to: F.struct(at.cast("long").alias("start"), to.cast("long").alias("end"))
+    pos, end = F.col("pos"), F.col("pos") + F.col("svlen")
+    probes = F.when(F.col("svtype") == "INS", F.array(probe(pos - 100, pos + 100))).when(F.col("svlen") <= 1000, F.array(probe(pos, end))).otherwise(F.array(probe(pos - 150, pos - 50), probe(end + 150, end + 250)))
+    spans = calls.select("svid", "chrom", F.size(probes).alias("n_probes"), F.explode(probes).alias("p")).select("svid", "chrom", "n_probes", "p.*")
+    reads = alns.select("chrom", F.col("ref_start").alias("b_start"), F.col("ref_end").alias("b_end"))
+    hits = overlap_join(spans, reads).where("b_start < start AND b_end > end").groupBy("svid").agg((F.count(F.lit(1)) / F.max("n_probes")).alias("n_cov"))
+    return calls.join(hits, "svid", "left").withColumn("n_cov", F.coalesce("n_cov", F.lit(0.0)))
+
+
+def correct_genotypes_by_type(calls: DataFrame, sigs: DataFrame, alns: DataFrame) -> DataFrame:
+    """As correct_genotypes, with the depth and thresholds of each type; a ratio has to pass its threshold, and other genotypes stay."""
+    both = support(calls, sigs).join(spanning_depth_by_type(calls, alns).select("svid", "n_cov"), "svid")
+    both = both.withColumn("n_ratio", F.when(F.col("n_cov") == 0, F.lit(1.0)).otherwise(F.round(F.col("n_support") / F.col("n_cov"), 6)))
+    limit = F.lit(None).cast("double")
+    for svtype, t in HIFI_THRESHOLDS.items():
+        for name, value in t.items():
+            size, of = F.col("svlen") <= 1000 if name.startswith("small") else F.col("svlen") > 1000, "1/1" if name.endswith("hom") else "0/1"
+            limit = F.when((F.col("svtype") == svtype) & size & (F.col("gt") == of), F.lit(value).cast("double")).otherwise(limit)
+    return both.withColumn("new_gt", F.when(limit.isNull(), F.col("gt")).when(F.col("n_ratio") > limit, "1/1").otherwise("0/1"))
+
+
+def inversion_support(calls: DataFrame, alns: DataFrame, flank: int = 1000, least: int = 1, mapq: int = 0) -> DataFrame:
+    """Calls (svid, n_start, n_end) near both of whose ends at least so many reads align in both directions."""
+    ends = F.explode(F.array(F.struct(F.lit(True).alias("first"), F.col("pos").alias("at")), F.struct(F.lit(False).alias("first"), (F.col("pos") + F.col("svlen")).alias("at"))))
+    near = calls.select("svid", "chrom", ends.alias("e")).select("svid", "chrom", "e.first", (F.col("e.at") - flank).alias("start"), (F.col("e.at") + flank).alias("end"))
+    reads = alns.where(F.col("mapq") >= mapq).select("chrom", F.col("ref_start").alias("b_start"), F.col("ref_end").alias("b_end"), "qname", "is_reverse")
+    both = overlap_join(near, reads).groupBy("svid", "first", "qname").agg(F.min("is_reverse").alias("lo"), F.max("is_reverse").alias("hi")).where("lo < hi")
+    counts = both.groupBy("svid").agg(F.sum(F.col("first").cast("long")).alias("n_start"), F.sum((~F.col("first")).cast("long")).alias("n_end"))
+    return counts.where((F.col("n_start") >= least) & (F.col("n_end") >= least))
+
+
 def read_supported(calls: DataFrame, sigs: DataFrame, shift: int = 500, exempt: int = 250) -> DataFrame:
     """False-positive filter: calls longer than exempt pass; others need a signature of any type at most shift away of half their size or more."""
     small = calls.where(F.col("svlen") <= exempt)
@@ -117,3 +155,25 @@ def components(edges: DataFrame) -> DataFrame:
         labels = new.drop("was")
         if new.where("was <> label").isEmpty():
             return labels
+
+
+def redundancy_links(calls: DataFrame) -> DataFrame:
+    """Links (a, b) of redundant calls (svid, chrom, svtype, pos, svlen, alt): deletions at most 3000 apart, of a size ratio of 0.1,
+    that overlap or touch; insertions at most 500 apart, of a size ratio of 0.5 and an edit similarity of alt of 0.5."""
+    points = calls.select(F.col("svid").alias("b"), F.col("chrom").alias("p_chrom"), F.col("svtype").alias("p_type"), F.col("pos").alias("p_pos"), F.col("svlen").alias("p_len"), F.col("alt").alias("p_alt"))
+    rules = {"DEL": (3000, "least(svlen, p_len) * 10 >= greatest(svlen, p_len) AND least(pos + svlen, p_pos + p_len) >= greatest(pos, p_pos)"), "INS": (500, "least(svlen, p_len) * 2 >= greatest(svlen, p_len)")}
+    parts = []
+    for svtype, (radius, rule) in rules.items():
+        near = band_join(calls.where(F.col("svtype") == svtype), points.where(F.col("p_type") == svtype), F.lit(radius), 4 * radius).where(f"svid < b AND {rule}")
+        near = near.where(edit_similarity(F.col("alt"), F.col("p_alt")) >= 0.5) if svtype == "INS" else near
+        parts.append(near.select(F.col("svid").alias("a"), "b"))
+    return parts[0].unionByName(parts[1])
+
+
+def collapse_redundant(calls: DataFrame) -> DataFrame:
+    """Calls with collapse_id (type and least svid of the component; null without links) and kept: the longest of a component, the
+    one of the least svid among equals, and every call without links."""
+    labels = components(redundancy_links(calls)).select(F.col("node").alias("svid"), "label")
+    best = calls.join(labels, "svid").groupBy("label").agg(F.min(F.struct((-F.col("svlen")).alias("size"), F.col("svid").alias("best"))).alias("b")).select("label", F.col("b.best").alias("best"))
+    out = calls.join(labels.join(best, "label"), "svid", "left")
+    return out.withColumn("collapse_id", F.concat("svtype", F.lit(":"), "label")).withColumn("kept", F.coalesce(F.col("best") == F.col("svid"), F.lit(True))).drop("label", "best")

@@ -8,6 +8,7 @@ SQL = {
     "calls": ("orders", """SELECT concat('sv', CAST(o_orderkey AS string)) AS svid, concat('chr', CAST(o_custkey % 22 + 1 AS string)) AS chrom,
       CASE WHEN o_orderkey % 2 = 0 THEN 'INS' ELSE 'DEL' END AS svtype, (o_orderkey * 7919 + 104729) % 1000000 AS pos, o_orderkey % 971 + 30 AS svlen,
       CASE WHEN o_orderstatus = 'F' THEN '1/1' ELSE '0/1' END AS gt FROM orders"""),
+    "alts": ("orders", """SELECT concat('sv', CAST(o_orderkey AS string)) AS svid, substr(md5(CAST(o_custkey AS string)), 1, CAST(o_orderkey % 24 + 8 AS int)) AS alt FROM orders"""),
     "sigs": ("lineitem", """SELECT concat('chr', CAST(l_suppkey % 22 + 1 AS string)) AS chrom, CASE WHEN l_returnflag = 'R' THEN 'INS' ELSE 'DEL' END AS svtype,
       (l_orderkey * 7919 + l_linenumber * 104729) % 1000000 AS pos, CAST(round(l_quantity) AS bigint) * 10 + 20 AS svlen,
       concat('read', CAST(l_partkey AS string)) AS qname, concat('hp', CAST(l_partkey % 2 + 1 AS string)) AS hp FROM lineitem"""),

@@ -418,3 +418,43 @@ def _(spark, d):
 @query("contig_header", ctes("contigs") + "SELECT chrom, concat('##contig=<ID=', chrom, ',length=', length, '>') AS line FROM contigs WHERE regexp_full_match(chrom, 'chr[0-9]')")
 def _(spark, d):
     return formats.contig_header(frame(spark, d, "contigs"), "chr[0-9]")
+
+
+_BY_TYPE = ctes("calls", "sigs", "alns") + """, p AS (SELECT svid, chrom, pos - 100 AS s, pos + 100 AS e, 1 AS n FROM calls WHERE svtype = 'INS' UNION ALL SELECT svid, chrom, pos, pos + svlen, 1 FROM calls WHERE svtype = 'DEL' AND svlen <= 1000
+    UNION ALL SELECT svid, chrom, pos - 150, pos - 50, 2 FROM calls WHERE svtype = 'DEL' AND svlen > 1000 UNION ALL SELECT svid, chrom, pos + svlen + 150, pos + svlen + 250, 2 FROM calls WHERE svtype = 'DEL' AND svlen > 1000)
+, d AS (SELECT svid, CAST(count(*) AS DOUBLE) / max(n) AS n_cov FROM p JOIN alns a ON a.chrom = p.chrom AND a.ref_start < s AND a.ref_end > e GROUP BY svid)
+, g AS (SELECT chrom, svtype, pos, svlen, count(*) AS n FROM sigs GROUP BY ALL)
+, u AS (SELECT c.svid, CAST(sum(g.n) AS BIGINT) AS n_support FROM calls c JOIN g ON c.chrom = g.chrom AND c.svtype = g.svtype AND abs(c.pos - g.pos) <= greatest(500, CAST(floor(c.svlen * 2.3) AS BIGINT))
+    AND least(c.svlen, g.svlen) * 10 >= greatest(c.svlen, g.svlen) * 6 GROUP BY c.svid)
+, j AS (SELECT c.*, coalesce(n_support, 0) AS n_support, coalesce(n_cov, 0.0) AS n_cov, CASE WHEN coalesce(n_cov, 0) = 0 THEN 1.0 ELSE round(coalesce(n_support, 0) / n_cov, 6) END AS n_ratio FROM calls c LEFT JOIN u USING (svid) LEFT JOIN d USING (svid))
+, t AS (SELECT *, CASE WHEN svtype = 'DEL' THEN CASE WHEN svlen <= 1000 THEN CASE gt WHEN '1/1' THEN 0.69 WHEN '0/1' THEN 0.91 END ELSE CASE gt WHEN '1/1' THEN 0.60 WHEN '0/1' THEN 0.71 END END
+    ELSE CASE WHEN svlen <= 1000 THEN CASE gt WHEN '1/1' THEN 0.59 WHEN '0/1' THEN 0.79 END ELSE CASE gt WHEN '0/1' THEN 0.63 END END END AS limit_ FROM j)
+"""
+
+
+@query("span_depth_by_type", _BY_TYPE + "SELECT svid, CAST(n_cov AS DOUBLE) AS n_cov FROM j")
+def _(spark, d):
+    return calling.spanning_depth_by_type(frame(spark, d, "calls"), frame(spark, d, "alns")).select("svid", "n_cov")
+
+
+@query("gt_correct_by_type", _BY_TYPE + "SELECT svid, n_support, CAST(n_cov AS DOUBLE) AS n_cov, CAST(n_ratio AS DOUBLE) AS n_ratio, CASE WHEN limit_ IS NULL THEN gt WHEN n_ratio > limit_ THEN '1/1' ELSE '0/1' END AS new_gt FROM t")
+def _(spark, d):
+    return calling.correct_genotypes_by_type(frame(spark, d, "calls"), frame(spark, d, "sigs"), frame(spark, d, "alns")).select("svid", "n_support", "n_cov", "n_ratio", "new_gt")
+
+
+@query("inv_support_both_ends", ctes("calls", "alns") + """, e AS (SELECT svid, chrom, true AS first_, pos AS at_ FROM calls UNION ALL SELECT svid, chrom, false, pos + svlen FROM calls),
+  r AS (SELECT e.svid, first_, a.qname FROM e JOIN alns a ON a.chrom = e.chrom AND a.ref_start < at_ + 1000 AND a.ref_end > at_ - 1000 GROUP BY ALL HAVING min(is_reverse) < max(is_reverse)),
+  n AS (SELECT svid, count(*) FILTER (WHERE first_) AS n_start, count(*) FILTER (WHERE NOT first_) AS n_end FROM r GROUP BY svid) SELECT * FROM n WHERE n_start >= 1 AND n_end >= 1""")
+def _(spark, d):
+    return calling.inversion_support(frame(spark, d, "calls"), frame(spark, d, "alns"))
+
+
+@query("redundancy_collapse", ctes("calls", "alts").replace("WITH ", "WITH RECURSIVE ", 1) + """, v AS (SELECT * FROM calls JOIN alts USING (svid)),
+  e AS (SELECT a.svid AS a, b.svid AS b FROM v a JOIN v b ON a.chrom = b.chrom AND a.svtype = b.svtype AND a.svid <> b.svid AND CASE WHEN a.svtype = 'DEL'
+    THEN abs(a.pos - b.pos) <= 3000 AND least(a.svlen, b.svlen) * 10 >= greatest(a.svlen, b.svlen) AND least(a.pos + a.svlen, b.pos + b.svlen) >= greatest(a.pos, b.pos)
+    ELSE abs(a.pos - b.pos) <= 500 AND least(a.svlen, b.svlen) * 2 >= greatest(a.svlen, b.svlen) AND (length(a.alt) + length(b.alt) - levenshtein(a.alt, b.alt)) / (length(a.alt) + length(b.alt)) >= 0.5 END),
+  r AS (SELECT DISTINCT a AS node, a AS seen FROM e UNION SELECT r.node, e.b FROM r JOIN e ON r.seen = e.a), l AS (SELECT node AS svid, min(seen) AS label FROM r GROUP BY node)
+  SELECT svid, CASE WHEN label IS NOT NULL THEN concat(svtype, ':', label) END AS collapse_id, label IS NULL OR row_number() OVER (PARTITION BY label ORDER BY svlen DESC, svid) = 1 AS kept FROM v LEFT JOIN l USING (svid)""")
+def _(spark, d):
+    calls = frame(spark, d, "calls").join(frame(spark, d, "alts"), "svid")
+    return calling.collapse_redundant(calls).select("svid", "collapse_id", "kept")
