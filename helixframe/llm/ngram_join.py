@@ -130,14 +130,16 @@ def _merged(parts: DataFrame, dtype: str, join) -> np.ndarray | None:
 def _members(docs: DataFrame) -> DataFrame:
     """A row (doc_id, n, cls, data) per document, and rows (block, data) of the sketch.
 
-    A document's data is its class's signature, at its first document in each task.
+    A document's data is its class's signature, at its first document in each task. A third column of docs, mark, is kept.
     """
+    marked = len(docs.columns) > 2
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(SKETCH, np.int64)
         seen: set[int] = set()
         names = ["doc_id", "n", "cls", "block", "data"]
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary()]
+        names += ["mark"] * marked
         for batch in batches:
             sizes, classes, signatures = [], [], []
             for grams in shingle_sets(batch.column(1)):
@@ -149,11 +151,11 @@ def _members(docs: DataFrame) -> DataFrame:
                 sizes.append(len(grams))
                 classes.append(c)
             n = batch.num_rows
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, kinds[1]), pa.array(classes, kinds[2]), pa.nulls(n, kinds[3]), pa.array(signatures, kinds[4])], names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, kinds[1]), pa.array(classes, kinds[2]), pa.nulls(n, kinds[3]), pa.array(signatures, kinds[4]), *batch.columns[2:]], names)
         for block, data in _blocks_out(sketch):
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, kinds[0]), pa.nulls(1, kinds[1]), pa.nulls(1, kinds[2]), pa.array([block], kinds[3]), pa.array([data], kinds[4])], names)
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, kinds[0]), pa.nulls(1, kinds[1]), pa.nulls(1, kinds[2]), pa.array([block], kinds[3]), pa.array([data], kinds[4]), *[pa.nulls(1, pa.string())] * marked], names)
 
-    return docs.mapInArrow(rows, "doc_id long, n int, cls long, block int, data binary")
+    return docs.mapInArrow(rows, "doc_id long, n int, cls long, block int, data binary" + ", mark string" * marked)
 
 
 def list_levels(sketch: np.ndarray | None) -> np.ndarray:
@@ -406,11 +408,11 @@ def _open_pairs(lists: DataFrame, members: DataFrame, labels: DataFrame | None)
     return found.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("times")).where(_occurs_enough()).select("a", "b")
 
 
-def _indexed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(members, lists), as written tables."""
-    first = written(_members(docs), "join-members")
+def _indexed(docs: DataFrame, marked: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(members, lists), as written tables; marked members have the md5 of their text."""
+    first = written(_members(docs.withColumn("mark", F.md5("text")) if marked else docs), "join-members")
     levels = list_levels(_merged(first.where(F.col("block").isNotNull()), "i8", np.add))
-    return first.where(F.col("block").isNull()).select("doc_id", "n", "cls", F.col("data").alias("signature")), written(_lists(_postings(docs, levels)), "join-lists")
+    return first.where(F.col("block").isNull()).select("doc_id", "n", "cls", F.col("data").alias("signature"), *["mark"] * marked), written(_lists(_postings(docs, levels)), "join-lists")
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -425,16 +427,21 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return _verified(docs, written(_open_pairs(lists, members, None), "join-pairs")), members.drop("signature")
 
 
-def components(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (the least doc_id of those reachable by links)."""
+def _labelled(docs: DataFrame, marked: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The members, and (cls, label) of the classes with links: the least class of their component."""
     docs = _texts(docs)
-    members, lists = _indexed(docs)
+    members, lists = _indexed(docs, marked)
     # Pairs with the first of a list; on a list where another class comes first the pair is not counted, so that some are left to the second step.
     stars = lists.groupBy(F.col("cls").alias("a"), F.col("head").alias("b"), F.col("n").alias("na"), F.col("head_n").alias("nb")).agg(F.count(F.lit(1)).alias("times"))
     stars = stars.where(_occurs_enough() & (10 * F.least("na", "nb") >= 8 * F.greatest("na", "nb"))).select("a", "b")
     found = written(_verified(docs, written(stars, "join-pairs")), "join-links")
     more = written(_verified(docs, written(_open_pairs(lists, members, connected(found)), "join-pairs")), "join-links")
-    labels = connected(found.unionByName(more))
+    return members, connected(found.unionByName(more))
+
+
+def components(docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (the least doc_id of those reachable by links)."""
+    members, labels = _labelled(docs)
     least = members.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("low")).join(labels, "cls", "left").withColumn("root", F.coalesce("label", "cls"))
     roots = least.groupBy("root").agg(F.min("low").alias("component_id"))
     least = least.join(roots, "root").select(F.col("cls").alias("_cls"), "component_id")
@@ -443,12 +450,20 @@ def components(docs: DataFrame) -> DataFrame:
 
 
 def distinct_documents(docs: DataFrame) -> DataFrame:
-    """One document of each component, that of the least doc_id, with all columns of docs.
+    """One row of each component, that of the least doc_id and then the least md5 of the text, with all columns of docs.
 
-    Rows that repeat both id and text are one document.
+    A null doc_id comes after all others. Rows without words are linked with nothing and all stay, alike or not.
     """
-    kept = components(docs).where("doc_id <=> component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates(["doc_id", "text"])
+    members, labels = _labelled(docs, True)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("first")
+    firsts = members.where("cls is not null").groupBy("cls").agg(first).join(labels, "cls", "left")
+    firsts = firsts.groupBy(F.coalesce("label", "cls").alias("root")).agg(F.min("first").alias("first"))
+    # The text decides the class and so the root: no other component has rows of this id and text.
+    kept = firsts.select(F.col("first.doc_id").alias("_kept_id"), F.col("first.mark").alias("_kept_mark"))
+    text = F.col("text").cast("string")
+    worded = F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    on = F.col("doc_id").cast("long").eqNullSafe(F.col("_kept_id")) & (F.md5(text) == F.col("_kept_mark"))
+    return docs.where(worded).join(kept, on, "left_semi").dropDuplicates(["doc_id", "text"]).unionByName(docs.where(~worded))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -85,6 +85,18 @@ def test_join_and_links_against_brute_force(spark):
     assert {frozenset(x) for x in links.collect()} == {frozenset((of[i], of[j])) for i, j in linked if of[i] != of[j]}
 
 
+def test_one_row_of_each_component_stays(spark):
+    base, other, third, last = (" ".join(f"{w}{i}" for i in range(60)) for w in ("word", "else", "more", "last"))
+    rows = [(None, ""), (None, " "), (None, " "), (4, "\n"), (4, "\n"), (1, base), (None, base.upper()), (None, base.replace("word30", "x")),
+            (2, other), (2, other.replace("else30", "x")), (2, other), (3, third), (7, third.replace("more30", "x")), (7, last), (None, "alone here"), (None, "alone here")]
+    got = [tuple(r) for r in ngram_join.distinct_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    blank = [r for r in rows if not r[1].strip()]
+    assert sorted((r for r in got if not r[1].strip()), key=str) == sorted(blank, key=str)
+    worded = [r for r in got if r[1].strip()]
+    assert sorted((r[0], r[1].split()[0]) for r in worded if r[0]) == [(1, "word0"), (2, "else0"), (3, "more0"), (7, "last0")]
+    assert [r for r in worded if r[0] is None] == [(None, "alone here")]
+
+
 def test_mixing_equals_sql_and_budget(spark, odd):
     for docs in (spark.read.parquet(f"{SF}/documents.parquet"), odd):
         db = duckdb.connect()
