@@ -9,8 +9,8 @@ largest log weight plus Gumbel noise are kept.  The noise is drawn from the id,
 so that reruns agree.  k is a number, or by default the number of documents
 whose log weight is not below MIN_LOG_WEIGHT.
 
-The k-th largest key is found by counting keys per bucket; no document is
-gathered or sorted in one place for it.
+The k-th largest key is found by counting keys per bucket, down to the single key;
+no document is gathered or sorted in one place for it.
 
 Edge cases: null, empty and very short texts have weight 1 (log 0); rows that
 repeat an id share its noise; at equal keys the order of (doc_id, n-grams) decides and
@@ -67,12 +67,18 @@ def importance_keys(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(score, "doc_id long, log_weight double, n_grams long, key long")
 
 
-def top_key(keys: DataFrame, k: int | None = None) -> int | None:
-    """The k-th largest key (None for the default k); None if there is no row.
+#: Below every key: all rows are kept.
+NO_KEY = -(1 << 62)
+#: In the order of ties a null doc_id comes first.
+NO_ID = -(1 << 63)
+
+
+def _kth(keys: DataFrame, k: int | None) -> tuple[int, int] | None:
+    """The k-th largest key (None for the default k), and how many of the rows that have it are among the k; None if there is no row.
 
-    Two counting passes: one over buckets of keys 2**20 steps (one nat) wide, one over the
-    keys of the bucket that holds the k-th.  The buckets are as many as there are
-    nats between the weights at most, and are counted before the shuffle.
+    Three counting passes: over buckets of keys 2**20 steps (one nat) wide, over buckets of
+    256 steps in the one that holds the k-th, and over the single keys of that. The first buckets are as many as there are
+    nats between the weights at most, and all are counted before the shuffle.
     """
     keys = keys.withColumn("bucket", F.shiftright("key", 20))
     first = keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("log_weight") >= MIN_LOG_WEIGHT).cast("long")).alias("likely"))
@@ -83,42 +89,75 @@ def top_key(keys: DataFrame, k: int | None = None) -> int | None:
     k = sum(t[2] for t in table) if k is None else k
     if not table or k <= 0:
         return None
+    if sum(t[1] for t in table) <= k:
+        return NO_KEY, 0
     above = 0
     for bucket, n, _ in table:
         if above + n >= k:
             break
         above += n
-    else:
-        return min(-(1 << 62), 0)
-    inside = keys.where(F.col("bucket") == bucket).groupBy(F.shiftright("key", 8).alias("fine")).count()
-    for row in sorted(inside.collect(), reverse=True):
-        above += row["count"]
-        if above >= k:
-            return int(row["fine"]) << 8
-    return -(1 << 62)
+    # The lowest bucket of the default k stands for all below it too.
+    inside = keys.where((F.col("bucket") <= bucket) if bucket == floor else (F.col("bucket") == bucket))
+    for bits in (8, 0):
+        counts = inside.groupBy(F.shiftright("key", bits).alias("part")).count()
+        for row in sorted(counts.collect(), reverse=True):
+            if above + row["count"] >= k:
+                break
+            above += row["count"]
+        inside = inside.where(F.shiftright("key", bits) == row["part"])
+    return int(row["part"]), k - above
+
+
+def top_key(keys: DataFrame, k: int | None = None) -> int | None:
+    """The k-th largest key (None for the default k); None if there is no row."""
+    found = _kth(keys, k)
+    return found and found[0]
+
+
+def cut(keys: DataFrame, k: int | None = None) -> tuple[int, int, int] | None:
+    """(key, doc_id, n_grams) of the last row that is kept, where smaller ids and then n-grams go first among equal keys; None if none is."""
+    found = _kth(keys, k)
+    if found is None:
+        return None
+    key, room = found
+    ties = keys.where(F.col("key") == key).groupBy(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "n_grams").count().orderBy("id", "n_grams")
+    last = (NO_ID, 0)
+    for row in ties.limit(max(room, 0)).collect():
+        last = (row["id"], row["n_grams"])
+        room -= row["count"]
+        if room <= 0:
+            break
+    return key, *last
 
 
 def classify(docs: DataFrame, labels: DataFrame, k: int | None = None) -> DataFrame:
     """One row per document: doc_id, log_weight, key (double), kept boolean."""
     ratios = M.fit(docs, labels)
     keys = importance_keys(docs, ratios)
-    least = top_key(keys, k)
-    kept = F.lit(False) if least is None else F.col("key") >= least
+    last = cut(keys, k)
+    if last is None:
+        kept = F.lit(False)
+    else:
+        key, at, n = last
+        of = F.coalesce("doc_id", F.lit(NO_ID))
+        kept = (F.col("key") > key) | ((F.col("key") == key) & ((of < at) | ((of == at) & (F.col("n_grams") <= n))))
     return keys.select("doc_id", "log_weight", "n_grams", (F.col("key") / STEPS_PER_NAT).alias("gumbel_key"), kept.alias("kept"))
 
 
 def keep(docs: DataFrame, labels: DataFrame, k: int | None = None) -> DataFrame:
     """The rows of docs that are kept, with all their columns."""
     ratios = M.fit(docs, labels)
-    least = top_key(importance_keys(docs, ratios), k)
-    if least is None:
+    last = cut(importance_keys(docs, ratios), k)
+    if last is None:
         return docs.limit(0)
     at_id, at_text = docs.columns.index("doc_id"), docs.columns.index("text")
 
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            _, _, keys = _keys(ratios, batch.column(at_id), batch.column(at_text))
-            yield batch.filter(pa.array(keys >= least))
+            _, counts, keys = _keys(ratios, batch.column(at_id), batch.column(at_text))
+            of = batch.column(at_id).cast(pa.int64()).fill_null(NO_ID).to_numpy(zero_copy_only=False)
+            key, at, n = last
+            yield batch.filter(pa.array((keys > key) | ((keys == key) & ((of < at) | ((of == at) & (counts <= n))))))
 
     return docs.mapInArrow(chosen, docs.schema)
 

@@ -129,6 +129,22 @@ def test_top_k_takes_the_k_largest(spark):
     assert 100 <= sum(k >= least for k in keys) <= 101
 
 
+def test_top_k_counts_single_keys_and_breaks_ties(spark):
+    near = [(i, 5, 1000 + i, -1.0) for i in range(200)]
+    table = spark.createDataFrame([(i, 5, 1000, -1.0) for i in (8, 3, None, 5)] + near, "doc_id long, n_grams long, key long, log_weight double")
+    assert quality_classifier.top_key(table, 50) == 1150
+    assert quality_classifier.cut(table, 50) == (1150, 150, 5)
+    assert quality_classifier.cut(table, 201) == (1000, 0, 5)
+    assert quality_classifier.cut(table, 202) == (1000, 3, 5)
+    assert quality_classifier.cut(table, 1000)[0] < 1000
+
+
+def test_top_k_keeps_exactly_k(spark, no_labels):
+    docs = spark.range(3000).selectExpr("id AS doc_id", "concat('some words of text ', id) AS text")
+    assert quality_classifier.keep(docs, no_labels, 1000).count() == 1000
+    assert quality_classifier.classify(docs, no_labels, 1000).where("kept").count() == 1000
+
+
 def test_secrets_against_plain_code(spark, odd):
     texts = [r.text or "" for r in odd.collect()] + ["token=secret=abcdefghijklmnop", "API_KEY: \"A1b2C3d4E5f6\" tokentoken = x AKIAAKIA", "ghp_" + "a" * 30 + secrets.base62_crc32("a" * 30), "ghp_" + "a" * 36, "é" * 9 + "deadbeefdeadbeef"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
