@@ -33,11 +33,12 @@ def importable(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own if unset."""
-    there = spark.conf.get("spark.checkpoint.dir", None)
-    if not there:
-        there = spark.conf.get("helixframe.shared.dir", None)
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a local session, in which all is one
+    process on one machine, gets a folder of its own; a cluster gets an error, as no folder of the driver's will do."""
+    there = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("helixframe.shared.dir", None)
     if not there:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         there = f"file://{tempfile.mkdtemp(prefix='helixframe-')}"
         spark.conf.set("helixframe.shared.dir", there)
     return there.rstrip("/")
@@ -51,6 +52,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """The name, with underscores added until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def removed(df: DataFrame) -> None:
     """Delete a table that written() made and nothing reads any more."""
     spark = df.sparkSession

@@ -24,19 +24,6 @@ ASCII_LOWER = np.arange(256, dtype=np.uint8)
 ASCII_LOWER[65:91] += 32
 
 _BASE = 0x9E3779B97F4A7C15 | 1
-_BASE_INV = pow(_BASE, -1, 1 << 64)
-_powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of the hash base and of its inverse, modulo 2**64."""
-    if len(_powers["up"]) < n:
-        m = 1 << int(n).bit_length()
-        for key, base in (("up", _BASE), ("down", _BASE_INV)):
-            steps = np.full(m, base, np.uint64)
-            steps[0] = 1
-            _powers[key] = np.multiply.accumulate(steps)
-    return _powers["up"], _powers["down"]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -67,19 +54,20 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return whole[at[0] : at[-1]], at - at[0]
 
 
-def slices(offsets: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges that hold at most so many bytes each, or one longer row."""
+def slices(offsets: np.ndarray, most: int = SLICE_BYTES, rows: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Row ranges that hold at most so many bytes and rows each, or one longer row."""
     low, n = 0, len(offsets) - 1
     while low < n:
         high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + most, side="right")) - 1)
-        yield low, min(high, n)
-        low = min(high, n)
+        high = min(high, n, low + rows)
+        yield low, high
+        low = high
 
 
-def text_slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_slices(column: pa.Array, most: int = SLICE_BYTES, rows: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, row after the last, bytes, offsets) of each slice."""
     data, at = utf8(column)
-    for low, high in slices(at, most):
+    for low, high in slices(at, most, rows):
         yield low, high, data[at[low] : at[high]], at[low : high + 1] - at[low]
 
 
@@ -101,25 +89,52 @@ def word_spans(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return begins, ends, np.diff(np.searchsorted(begins, at))
 
 
+#: Keeps the bytes of a 64-bit word that belong to a span's last one, by their number.
+_LAST = np.array([(1 << (8 * i)) - 1 for i in range(8)] + [(1 << 64) - 1], np.uint64)
+
+
+def span_words(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The spans' bytes as 64-bit words, the last of each filled up with zeros, and the words of each span (1 at least)."""
+    sizes = ends - begins
+    counts = np.maximum((sizes + 7) >> 3, 1)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    whole = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    if counts.max(initial=1) == 1:
+        return whole[begins] & _LAST[sizes], counts
+    step = 8 * (np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts))
+    return whole[np.repeat(begins, counts) + step] & _LAST[np.minimum(np.repeat(sizes, counts) - step, 8)], counts
+
+
+def word_hashes(words: np.ndarray, counts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span of span_words(): every word is scrambled with its place by a function
+    that cannot be inverted step by step, the results are added, and the sum is scrambled with the length."""
+    if not len(counts):
+        return np.zeros(0, np.uint64)
+    first = np.cumsum(counts) - counts
+    if len(words) == len(counts):
+        key = np.uint64(_BASE)
+    else:
+        key = (np.arange(len(words)) - np.repeat(first, counts) + 1).astype(np.uint64) * np.uint64(_BASE)
+    h = mix(words + key) * (mix(words ^ (key * np.uint64(0xD1B54A32D192ED03))) | np.uint64(1))
+    if len(words) > len(counts):
+        h = np.add.reduceat(h, first)
+    return mix(h ^ (sizes.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
+
+
 def span_hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each span's bytes; where a span stands does not matter."""
     if not len(begins):
         return np.zeros(0, np.uint64)
-    up, down = powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
-    h = (sums[ends] - sums[begins]) * down[begins]
-    return mix(h ^ ((ends - begins).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
+    return word_hashes(*span_words(data, begins, ends), ends - begins)
 
 
 def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     """64-bit hashes of the windows of n consecutive word hashes."""
     if len(words) < n:
         return np.zeros(0, np.uint64)
-    _, many = powers(n + 2)
-    total = np.full(len(words) - n + 1, n, np.uint64) * many[n + 1]
+    total = np.full(len(words) - n + 1, n, np.uint64)
     for i in range(n):
-        total += words[i : len(words) - n + 1 + i] * many[i + 1]
+        total += mix(words[i : len(words) - n + 1 + i] + np.uint64((i + 1) * _BASE & (1 << 64) - 1))
     return mix(total)
 
 

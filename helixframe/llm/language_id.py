@@ -7,8 +7,7 @@ multiplication; a text's vector bundles (adds) those of its trigrams, and so doe
 language's prototype over all its training texts.  A text gets the language whose
 prototype has the largest cosine with it.
 
-The vectors of a batch come from one product of its trigram counts with the
-trigrams' vectors.  All sums are of whole numbers, and so are the same in any
+All sums are of whole numbers, and so are the same in any
 partitioning.  Training adds up D numbers per language.
 
 Edge cases: a null text, or one without letters, is `und` with score 0; a null
@@ -32,6 +31,8 @@ from helixframe.llm.common import crc_remainder, documents, importable
 D = 1024
 SEED = 20
 UNKNOWN = "und"
+#: Trigrams whose vectors are held at once, (row, trigram) pairs that are added at once, and rows of a slice.
+KINDS, PAIRS, ROWS = 4096, 4096, 2048
 
 
 class _Alphabet:
@@ -118,17 +119,49 @@ def bound_vectors(letters: np.ndarray) -> np.ndarray:
 
 
 def text_vectors(data: np.ndarray, at: np.ndarray, groups: np.ndarray | None = None, n: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """The bundled vector of each row (or of each group of rows), and its number of trigrams with a letter."""
+    """The bundled vector of each row (or of each group of rows), and its number of trigrams with a letter.
+
+    Distinct (row, trigram) pairs are taken KINDS trigrams at a time: their counts make a dense table for one matrix product where
+    most of it is filled, else the pairs' vectors are added up row by row, PAIRS of them at a time. Memory follows KINDS, PAIRS
+    and the number of rows, never rows times trigrams.
+    """
     letters, which, counts = trigrams(data, at)
     n = len(counts) if n is None else n
     row = K.rows_of(counts)
     row = row if groups is None else groups[row]
     u = len(letters)
+    out = np.zeros((n, D))
     if not u:
-        return np.zeros((n, D)), np.zeros(n, np.int64)
-    table = np.bincount(row * u + which, minlength=n * u).reshape(n, u)
+        return out, np.zeros(n, np.int64)
+    lettered = (letters != 0).any(axis=1)
+    if u * n <= 1 << 22:
+        table = np.bincount(which * n + row, minlength=1)
+        pairs = np.flatnonzero(table)
+        times = table[pairs]
+    else:
+        pairs, times = np.unique(which * n + row, return_counts=True)
+    kind, row = pairs // n, pairs % n
+    known = np.bincount(row, times * lettered[kind], minlength=n).astype(np.int64)
     exact = np.float32 if len(which) < 1 << 24 else np.float64
-    return (table.astype(exact) @ bound_vectors(letters).astype(exact)).astype(np.float64), table @ (letters != 0).any(axis=1)
+    cuts = np.searchsorted(kind, np.arange(0, u + KINDS, KINDS))
+    for i, (low, high) in enumerate(zip(cuts, cuts[1:], strict=False)):
+        if low == high:
+            continue
+        vectors = bound_vectors(letters[i * KINDS : (i + 1) * KINDS]).astype(exact)
+        k, t = kind[low:high] - i * KINDS, times[low:high].astype(exact)
+        rows, r = np.unique(row[low:high], return_inverse=True)
+        if len(rows) * len(vectors) <= 16 * len(k):
+            table = np.zeros((len(rows), len(vectors)), exact)
+            table[r, k] = t
+            out[rows] += table @ vectors
+            continue
+        order = np.argsort(r, kind="stable")
+        r, k, t = r[order], k[order], t[order]
+        for x in range(0, len(r), PAIRS):
+            y = slice(x, x + PAIRS)
+            first = np.flatnonzero(np.diff(r[y], prepend=-1))
+            out[rows[r[y][first]]] += np.add.reduceat(vectors[k[y]] * t[y][:, None], first, axis=0)
+    return out, known
 
 
 def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
@@ -140,7 +173,7 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
         for batch in batches:
             codes = batch.column(1).dictionary_encode()
             names, groups = codes.dictionary.to_pylist(), codes.indices.to_numpy()
-            for low, high, data, at in K.text_slices(batch.column(0)):
+            for low, high, data, at in K.text_slices(batch.column(0), rows=ROWS):
                 here, index = np.unique(groups[low:high], return_inverse=True)
                 vectors, _ = text_vectors(data, at, index, len(here))
                 for g, v in zip(here, vectors, strict=True):
@@ -165,7 +198,7 @@ def identify(docs: DataFrame, names: list[str], prototypes: np.ndarray) -> DataF
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             best, score = [np.zeros(0, np.int64)], [np.zeros(0)]
-            for _, _, data, at in K.text_slices(batch.column(1)):
+            for _, _, data, at in K.text_slices(batch.column(1), rows=ROWS):
                 vectors, lettered = text_vectors(data, at)
                 cosine = np.round(vectors @ prototypes.T / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12), 9) if names else np.zeros((len(at) - 1, 1))
                 known = (lettered > 0) & bool(names)

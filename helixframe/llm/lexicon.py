@@ -34,6 +34,10 @@ class Lexicon:
             (self.stem if is_stem else self.whole)[node] = number
         self.allowed = [allowed_edits(*e) for e in entries]
         self.letters = {c for kids in self.children for c in kids}
+        self.forget()
+
+    def forget(self) -> None:
+        """Start anew with the states; they come back as words need them."""
         self.numbers: dict[tuple, int] = {}
         self.states: list[tuple] = []
         self.steps: list[dict[str, int]] = []

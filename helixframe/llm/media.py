@@ -4,7 +4,7 @@ tiff_pages() is the operator. The query stores each text as a TIFF, reads it bac
 through the operator and digests what it read.
 
 Edge cases: a null value, or bytes that are no readable TIFF, gives one row with a null
-page number (0 pages read) and the reason in error, after the pages that could be read; a file without pages gives one such row
+page number (0 pages read; damaged tables, no samples per pixel, data that end early, a page beyond 2 GB) and the reason in error, after the pages that could be read; a file without pages gives one such row
 too; repeated rows are read each; an empty table gives an empty result; further
 columns are carried along if named.
 """
@@ -88,17 +88,12 @@ def payload(text: bytes) -> bytes:
 
 
 def stored(data: bytes) -> bytes:
-    """The payload as a TIFF. The layout follows from its bytes: most are deflated, one in 16 each LZW and PackBits."""
+    """The payload as a TIFF. The layout follows from its bytes; all compressions, strips and tiles, predictors and byte orders are dealt alike."""
     rows = np.frombuffer(data, np.uint8).reshape(-1, WIDTH)
     pages = [rows[y : y + PAGE_ROWS] for y in range(0, len(rows), PAGE_ROWS)]
-    plan = zlib.crc32(data) % 16
-    if plan == 0:
-        return tiff.encode(pages, tiff.LZW)
-    if plan == 1:
-        return tiff.encode(pages, tiff.PACKBITS, predictor=2)
-    if plan < 6:
-        return tiff.encode(pages, tiff.DEFLATE, predictor=2, tile=(16, 192))
-    return tiff.encode(pages, tiff.DEFLATE, predictor=1 + plan % 2)
+    plan = zlib.crc32(data)
+    compression = (tiff.NONE, tiff.PACKBITS, tiff.LZW, tiff.DEFLATE)[plan % 4]
+    return tiff.encode(pages, compression, 1 + plan // 4 % 2, (16, 192) if plan // 8 % 2 else None, order="<>"[plan // 16 % 2])
 
 
 def store(docs: DataFrame) -> DataFrame:
@@ -133,7 +128,9 @@ def digest(pages: DataFrame) -> DataFrame:
 
         for batch in batches:
             done = []
-            for r in batch.to_pylist():
+            for i in range(batch.num_rows):
+                # One page at a time: a batch's pixels are not copied together.
+                r = {name: column[i].as_py() for name, column in zip(batch.schema.names, batch.columns, strict=True)}
                 if r["error"] is not None:
                     raise ValueError(f"document {r['doc_id']}: {r['error']}")
                 if r["page"] == 0:

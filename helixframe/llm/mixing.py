@@ -39,10 +39,10 @@ SALTS = 64
 
 
 def quality_weight(text):
-    """1 to 4: grows with the share of code points that are neither white space nor symbols #*$%&|<>."""
-    plain = F.length(F.regexp_replace(text, r"[\x20\x09-\x0D#*$%&|<>]", ""))
-    solid = F.length(F.regexp_replace(text, r"[\x20\x09-\x0D]", ""))
-    return F.when(solid > 0, F.lit(1) + F.floor(F.lit(3) * plain / solid)).otherwise(F.lit(1)).cast("int")
+    """0.05 to 1.05, without steps: the fourth power of the share of letters (and all beyond ASCII) among code points that are no white space."""
+    letters = F.length(F.regexp_replace(text, r"[^A-Za-z\x{80}-\x{10FFFF}]", ""))
+    share = F.try_divide(letters.cast("double"), F.length(F.regexp_replace(text, r"[\x20\x09-\x0D]", "")).cast("double"))
+    return F.coalesce(share * share * share * share, F.lit(0.0)) + F.lit(0.05)
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST_EPOCHS) -> DataFrame:
@@ -150,12 +150,14 @@ def pipeline_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 SQL = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-         length(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D#*$%&|<>]', '', 'g')) AS plain,
+         length(regexp_replace(coalesce(text, ''), '[^A-Za-z\x{80}-\x{10FFFF}]', '', 'g')) AS letters,
          length(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS solid,
          (('0x' || substr(md5('mix-1|' || coalesce(CAST(doc_id AS varchar), '')), 1, 13))::BIGINT + 0.5) / 4503599627370496.0 AS u
   FROM documents
+), q AS (
+  SELECT *, CASE WHEN solid > 0 THEN letters::DOUBLE / solid::DOUBLE END AS share FROM d
 ), k AS (
-  SELECT doc_id, source, size, CAST(floor((1 - exp(ln(u) / CASE WHEN solid > 0 THEN 1 + floor(3 * plain / solid) ELSE 1 END)) * 70368744177664.0) AS BIGINT) AS key FROM d
+  SELECT doc_id, source, size, CAST(floor((1 - exp(ln(u) / (CASE WHEN solid > 0 THEN share * share * share * share ELSE 0.0::DOUBLE END + 0.05::DOUBLE))) * 70368744177664.0) AS BIGINT) AS key FROM q
 ), s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM k GROUP BY source
 ), w AS (

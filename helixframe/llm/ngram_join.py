@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixframe.llm import kernels as K
-from helixframe.llm.common import documents, importable, removed, written
+from helixframe.llm.common import documents, importable, removed, unused, written
 
 WORDS = 5
 #: Counters of the list-length sketch, and bits of the bitmap of candidate classes.
@@ -459,10 +459,11 @@ def distinct_documents(docs: DataFrame) -> DataFrame:
     firsts = members.where("cls is not null").groupBy("cls").agg(first).join(labels, "cls", "left")
     firsts = firsts.groupBy(F.coalesce("label", "cls").alias("root")).agg(F.min("first").alias("first"))
     # The text decides the class and so the root: no other component has rows of this id and text.
-    kept = firsts.select(F.col("first.doc_id").alias("_kept_id"), F.col("first.mark").alias("_kept_mark"))
+    id_name, mark_name = unused("_kept_id", docs.columns), unused("_kept_mark", docs.columns)
+    kept = firsts.select(F.col("first.doc_id").alias(id_name), F.col("first.mark").alias(mark_name))
     text = F.col("text").cast("string")
     worded = F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    on = F.col("doc_id").cast("long").eqNullSafe(F.col("_kept_id")) & (F.md5(text) == F.col("_kept_mark"))
+    on = F.col("doc_id").cast("long").eqNullSafe(F.col(id_name)) & (F.md5(text) == F.col(mark_name))
     return docs.where(worded).join(kept, on, "left_semi").dropDuplicates(["doc_id", "text"]).unionByName(docs.where(~worded))
 
 

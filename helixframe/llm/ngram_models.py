@@ -6,6 +6,11 @@ Gumbel top-k).  The model is two vectors of BUCKETS counts, so that what reaches
 the driver and goes back to the workers does not grow with the corpus, while the
 counts themselves cover every n-gram of every document.
 
+The trusted rows' mix of languages differs from the corpus's by chance, and that difference would
+count in every n-gram of a text. So raw counts are weighted by language (a column of
+the corpus that only the fit reads) to the target's mix; a language without trusted rows has weight 0,
+and n-grams that only it has say nothing.
+
 Edge cases: a null or empty text, or one of fewer bytes than an n-gram, has no
 n-grams and a log-likelihood ratio of 0; repeated rows are counted and scored
 each; without any trusted row both models are the raw one and every ratio is 0;
@@ -27,11 +32,11 @@ from helixframe.llm.common import importable, labelled_sample
 #: n-grams are N bytes of UTF-8, hashed to BUCKETS buckets.
 N = 4
 BUCKETS = 1 << 16
-#: Added to every bucket of both models.
-SMOOTHING = 0.5
-#: Log ratios are moved towards 0 by so many nats, and to 0 within it: chance differences between the two
-#: models' mixes of languages are of that size in small corpora, and apply to every n-gram of a text.
-MARGIN = 0.5
+#: Added to every bucket of both models, which have the same total: a bucket of which either model has seen little says little.
+SMOOTHING = 10.0
+#: Languages are told apart by this many hash values; a raw weight is held in steps of 2**-20.
+STRATA = 4096
+WEIGHT_STEPS = 1 << 20
 #: At most so many labelled rows name the trusted target (a bounded sample, see labelled_sample).
 MAX_LABELLED = 200_000
 
@@ -55,39 +60,59 @@ def hashed_grams(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return h[~crosses], counts
 
 
-def count_grams(docs: DataFrame, text: str = "text", target: str = "is_target") -> DataFrame:
-    """(bucket, n_target, n_raw) over all rows; target names a boolean column."""
+def count_grams(docs: DataFrame, weights: np.ndarray | None = None) -> DataFrame:
+    """(bucket, n_target, n_raw) over all rows of docs (text, is_target, stratum).
+
+    An n-gram counts 1 for the target, where is_target, and its stratum's weight, a whole number (1 if none is given), for raw.
+    """
     importable(docs.sparkSession)
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, BUCKETS), np.int64)
         for batch in batches:
             chosen = batch.column(1).fill_null(False).to_numpy(zero_copy_only=False).astype(bool)
+            each = None if weights is None else weights[batch.column(2).to_numpy()]
             for low, high, data, at in K.text_slices(batch.column(0)):
                 grams, counts = hashed_grams(data, at)
-                total[1] += np.bincount(grams, minlength=BUCKETS)
+                # Sums of whole numbers below 2**53: exact, whatever their order.
+                total[1] += np.bincount(grams, None if each is None else np.repeat(each[low:high], counts), minlength=BUCKETS).astype(np.int64)
                 if chosen[low:high].any():
                     total[0] += np.bincount(grams[np.repeat(chosen[low:high], counts)], minlength=BUCKETS)
-        seen = np.flatnonzero(total[1])
+        seen = np.flatnonzero(total.any(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[0][seen]), pa.array(total[1][seen])], ["bucket", "n_target", "n_raw"])
 
-    parts = docs.select(F.col(text).cast("string"), F.col(target).cast("boolean")).mapInArrow(partial, "bucket int, n_target long, n_raw long")
+    parts = docs.select(F.col("text").cast("string"), F.col("is_target").cast("boolean"), F.col("stratum").cast("int")).mapInArrow(partial, "bucket int, n_target long, n_raw long")
     return parts.groupBy("bucket").agg(F.sum("n_target").alias("n_target"), F.sum("n_raw").alias("n_raw"))
 
 
+def raw_weights(marked: DataFrame) -> np.ndarray:
+    """By stratum, the share of its n-grams that are the target's, in steps: so weighted, the raw counts have the target's mix of languages and its size."""
+    grams = F.greatest(F.octet_length(F.coalesce(F.col("text"), F.lit(""))) - (N - 1), F.lit(0)).cast("long")
+    sums = marked.groupBy("stratum").agg(F.sum(F.when(F.col("is_target"), grams).otherwise(0)).alias("target"), F.sum(grams).alias("raw"))
+    weights = np.zeros(STRATA)
+    for r in sums.collect():
+        weights[r.stratum] = round(WEIGHT_STEPS * r.target / r.raw) if r.raw else 0
+    return weights
+
+
+def log_ratios(n_target: np.ndarray, n_raw: np.ndarray) -> np.ndarray:
+    """Per bucket, log p(target) - log p(raw), of counts that have about the same total."""
+    return np.log(n_target + SMOOTHING) - np.log(n_raw + SMOOTHING)
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = MAX_LABELLED) -> np.ndarray:
-    """Per bucket, log p(target) - log p(raw), less the margin. Trusted are the rows of docs whose label is 1."""
+    """The log ratios by bucket. Trusted are the rows of docs whose label is 1; lang, where docs have it, serves to weight the raw counts only."""
     trusted = labelled_sample(labels, label, most, F.col(label) == 1).select(F.col("doc_id").alias("_trusted"))
-    marked = docs.select("doc_id", "text").join(F.broadcast(trusted), F.col("doc_id") == F.col("_trusted"), "left")
-    counts = np.zeros((2, BUCKETS))
-    for row in count_grams(marked.withColumn("is_target", F.col("_trusted").isNotNull())).toPandas().itertuples(index=False):
-        counts[:, row.bucket] = row.n_target, row.n_raw
-    if not counts[0].sum():
+    stratum = F.pmod(F.xxhash64(F.col("lang").cast("string")), F.lit(STRATA)).cast("int") if "lang" in docs.columns else F.lit(0)
+    marked = docs.select(F.col("doc_id").alias("_id"), F.col("text").cast("string").alias("text"), stratum.alias("stratum"))
+    marked = marked.join(F.broadcast(trusted), F.col("_id") == F.col("_trusted"), "left").withColumn("is_target", F.col("_trusted").isNotNull())
+    weights = raw_weights(marked)
+    if not weights.any():
         return np.zeros(BUCKETS)
-    smooth = counts + SMOOTHING
-    target, raw = np.log(smooth / smooth.sum(axis=1, keepdims=True))
-    ratios = target - raw
-    return np.sign(ratios) * np.maximum(np.abs(ratios) - MARGIN, 0)
+    counts = np.zeros((2, BUCKETS))
+    for row in count_grams(marked, weights).toPandas().itertuples(index=False):
+        counts[:, row.bucket] = row.n_target, row.n_raw / WEIGHT_STEPS
+    return log_ratios(*counts)
 
 
 def gram_scores(ratios: np.ndarray, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

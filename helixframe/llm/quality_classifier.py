@@ -1,25 +1,26 @@
 """Quality classifier: importance resampling of the raw corpus towards a trusted target.
 
 A document's log importance weight is the log ratio of the two hashed n-gram
-generative models, tempered to the evidence of EVIDENCE n-grams: the summed ratio times
-EVIDENCE / (EVIDENCE + n-grams), so that small differences do not add up over a long
-text until it is rejected.  Gumbel top-k then samples without
+generative models: the plain sum over its n-grams.  Gumbel top-k samples without
 replacement in proportion to the weights: of all documents the k with the
 largest log weight plus Gumbel noise are kept.  The noise is drawn from the id,
-so that reruns agree.  k is a number, or by default the number of documents
-whose log weight is not below MIN_LOG_WEIGHT.
+so that reruns agree.  k is a number, or a share of the documents, or by default the sum of
+min(1, weight) over all documents: as many as rejection sampling would accept on average that accepts a
+document of the target's kind always and any other in proportion to its weight.
 
-The k-th largest key is found by counting keys per bucket, down to the single key;
+Keys are written once.  The k-th largest is found by counting keys per bucket, down to the single key;
 no document is gathered or sorted in one place for it.
 
 Edge cases: null, empty and very short texts have weight 1 (log 0); rows that
 repeat an id share its noise; at equal keys the order of (doc_id, n-grams) decides and
 rows alike in all of these are kept alike, so that k may then be passed by their
-number; a null doc_id draws noise as the empty id; empty tables give empty results.
+number; a null doc_id draws noise as the empty id; empty tables give empty results; columns of any
+name are kept by keep().
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,12 +29,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixframe.llm import ngram_models as M
-from helixframe.llm.common import documents, importable, labels
+from helixframe.llm.common import documents, importable, labels, removed, written
 
-#: The n-grams whose evidence a long text has.
-EVIDENCE = 64
-#: Documents of a smaller log weight (in nats; a mean of -1/16 an n-gram in long texts) do not count towards k.
-MIN_LOG_WEIGHT = -4.0
 SEED = 7
 #: Keys are ordered as integers in these steps.
 STEPS_PER_NAT = 1 << 20
@@ -51,7 +48,7 @@ def gumbel(column: pa.Array, seed: int = SEED) -> np.ndarray:
 
 def _keys(ratios: np.ndarray, ids: pa.Array, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     sums, counts = M.column_scores(ratios, texts)
-    weights = np.round(sums * EVIDENCE / (EVIDENCE + counts), 6)
+    weights = np.round(sums, 6)
     return weights, counts, np.floor((weights + gumbel(ids)) * STEPS_PER_NAT).astype(np.int64)
 
 
@@ -73,48 +70,60 @@ NO_KEY = -(1 << 62)
 NO_ID = -(1 << 63)
 
 
-def _kth(keys: DataFrame, k: int | None) -> tuple[int, int] | None:
-    """The k-th largest key (None for the default k), and how many of the rows that have it are among the k; None if there is no row.
+#: Expected acceptances are added up as whole numbers of this many a document, so that their sum is the same in any order.
+ACCEPT_STEPS = 1 << 30
+#: Keys below -FLOOR nats are counted as one bucket first: the table of buckets has fewer than 2 * FLOOR rows.
+FLOOR = 100_000
+
+
+def budget(keys: DataFrame, share: float | None = None) -> int:
+    """k: the given share of the documents, or the expected number that rejection sampling accepts."""
+    if share is not None:
+        return math.floor(share * keys.count())
+    accepted = F.floor(F.exp(F.least(F.col("log_weight"), F.lit(0.0))) * ACCEPT_STEPS).cast("decimal(38,0)")
+    total = keys.agg(F.sum(accepted).alias("n")).first().n
+    return round(int(total or 0) / ACCEPT_STEPS)
+
+
+def _kth(keys: DataFrame, k: int) -> tuple[int, int] | None:
+    """The k-th largest key, and how many of the rows that have it are among the k; None if there is no row.
 
     Three counting passes: over buckets of keys 2**20 steps (one nat) wide, over buckets of
-    256 steps in the one that holds the k-th, and over the single keys of that. The first buckets are as many as there are
-    nats between the weights at most, and all are counted before the shuffle.
+    256 steps in the one that holds the k-th, and over the single keys of that. All are counted before the shuffle.
     """
-    keys = keys.withColumn("bucket", F.shiftright("key", 20))
-    first = keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("log_weight") >= MIN_LOG_WEIGHT).cast("long")).alias("likely"))
-    # Far below the limit all buckets are alike: only the sum of their rows matters there.
-    floor = int((MIN_LOG_WEIGHT - 1000) * STEPS_PER_NAT) >> 20
-    first = first.groupBy(F.greatest("bucket", F.lit(floor)).alias("bucket")).agg(F.sum("n").alias("n"), F.sum("likely").alias("likely")) if k is None else first
-    table = sorted(((r.bucket, r.n, r.likely) for r in first.collect()), reverse=True)
-    k = sum(t[2] for t in table) if k is None else k
+    lowest, highest = -FLOOR, FLOOR
+    bucket_of = F.greatest(F.least(F.shiftright("key", 20), F.lit(highest)), F.lit(lowest))
+    keys = keys.withColumn("bucket", bucket_of)
+    table = sorted(((r.bucket, r["count"]) for r in keys.groupBy("bucket").count().collect()), reverse=True)
     if not table or k <= 0:
         return None
     if sum(t[1] for t in table) <= k:
         return NO_KEY, 0
     above = 0
-    for bucket, n, _ in table:
+    for bucket, n in table:
         if above + n >= k:
             break
         above += n
-    # The lowest bucket of the default k stands for all below it too.
-    inside = keys.where((F.col("bucket") <= bucket) if bucket == floor else (F.col("bucket") == bucket))
-    for bits in (8, 0):
-        counts = inside.groupBy(F.shiftright("key", bits).alias("part")).count()
+    inside = keys.where(F.col("bucket") == bucket)
+    # The outermost buckets stand for all beyond them and are halved bit by bit; each of the others is one nat.
+    bits = list(range(60, 16, -8)) if bucket in (lowest, highest) else []
+    for shift in [*bits, 8, 0]:
+        counts = inside.groupBy(F.shiftright("key", shift).alias("part")).count()
         for row in sorted(counts.collect(), reverse=True):
             if above + row["count"] >= k:
                 break
             above += row["count"]
-        inside = inside.where(F.shiftright("key", bits) == row["part"])
+        inside = inside.where(F.shiftright("key", shift) == row["part"])
     return int(row["part"]), k - above
 
 
-def top_key(keys: DataFrame, k: int | None = None) -> int | None:
-    """The k-th largest key (None for the default k); None if there is no row."""
+def top_key(keys: DataFrame, k: int) -> int | None:
+    """The k-th largest key; None if there is no row."""
     found = _kth(keys, k)
     return found and found[0]
 
 
-def cut(keys: DataFrame, k: int | None = None) -> tuple[int, int, int] | None:
+def cut(keys: DataFrame, k: int) -> tuple[int, int, int] | None:
     """(key, doc_id, n_grams) of the last row that is kept, where smaller ids and then n-grams go first among equal keys; None if none is."""
     found = _kth(keys, k)
     if found is None:
@@ -130,11 +139,15 @@ def cut(keys: DataFrame, k: int | None = None) -> tuple[int, int, int] | None:
     return key, *last
 
 
-def classify(docs: DataFrame, labels: DataFrame, k: int | None = None) -> DataFrame:
-    """One row per document: doc_id, log_weight, key (double), kept boolean."""
+def _scored(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, DataFrame]:
     ratios = M.fit(docs, labels)
-    keys = importance_keys(docs, ratios)
-    last = cut(keys, k)
+    return ratios, written(importance_keys(docs, ratios), "quality-keys")
+
+
+def classify(docs: DataFrame, labels: DataFrame, k: int | None = None, share: float | None = None) -> DataFrame:
+    """One row per document: doc_id, log_weight, n_grams, gumbel_key, kept boolean."""
+    _, keys = _scored(docs, labels)
+    last = cut(keys, budget(keys, share) if k is None else k)
     if last is None:
         kept = F.lit(False)
     else:
@@ -144,10 +157,11 @@ def classify(docs: DataFrame, labels: DataFrame, k: int | None = None) -> DataFr
     return keys.select("doc_id", "log_weight", "n_grams", (F.col("key") / STEPS_PER_NAT).alias("gumbel_key"), kept.alias("kept"))
 
 
-def keep(docs: DataFrame, labels: DataFrame, k: int | None = None) -> DataFrame:
+def keep(docs: DataFrame, labels: DataFrame, k: int | None = None, share: float | None = None) -> DataFrame:
     """The rows of docs that are kept, with all their columns."""
-    ratios = M.fit(docs, labels)
-    last = cut(importance_keys(docs, ratios), k)
+    ratios, keys = _scored(docs, labels)
+    last = cut(keys, budget(keys, share) if k is None else k)
+    removed(keys)
     if last is None:
         return docs.limit(0)
     at_id, at_text = docs.columns.index("doc_id"), docs.columns.index("text")

@@ -12,6 +12,10 @@ or more), access (AKIA and upper-case letters or digits, 18 characters or more),
 characters, and their CRC-32 in 6 base-62 digits), jwt (three base64url parts of which
 the first decodes to a JSON object with "alg"), pem (a private-key block).
 
+Work is linear in the text, whatever it holds: a run of base64url letters is tried for a jwt once, from the first
+eyJ in it; the ends of private-key blocks and the letters that cannot stand in one are found in one pass each; a header
+that no JSON parser takes (too deep, too long a number) fails the check.
+
 Spans are in code points, end exclusive, leftmost and non-overlapping per kind.
 Edge cases: a null or empty text has no spans; repeated rows are scanned each; an
 empty table gives an empty result; further columns are ignored by scan() and kept
@@ -22,6 +26,7 @@ from __future__ import annotations
 
 import base64
 import binascii
+import bisect
 import json
 import re
 import zlib
@@ -43,8 +48,10 @@ KINDS = (*BASE_KINDS, "github", "npm", "jwt", "pem")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 CHECKED = re.compile(r"(gh[pousr]_|npm_)([0-9A-Za-z]{30})([0-9A-Za-z]{6})(?![0-9A-Za-z])")
-JWT = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+")
-PEM = re.compile(r"-----BEGIN ([A-Z ]*)PRIVATE KEY-----[A-Za-z0-9+/=\s:,.-]*?-----END \1PRIVATE KEY-----")
+JWT = re.compile(r"(eyJ[A-Za-z0-9_-]+)(?:\.[A-Za-z0-9_-]+(\.[A-Za-z0-9_-]+)?)?")
+PEM_BEGIN = re.compile(r"-----BEGIN ([A-Z ]*)PRIVATE KEY-----")
+PEM_END = re.compile(r"-----END ([A-Z ]*)PRIVATE KEY-----")
+NOT_PEM = re.compile(r"[^A-Za-z0-9+/=\s:,.-]")
 
 BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
@@ -58,6 +65,32 @@ def base62_crc32(text: str) -> str:
     return digits
 
 
+class _Blocks:
+    """The private-key blocks of a text: each begins at a BEGIN line and ends at the next END line of its label, with only PEM's letters between."""
+
+    def __init__(self, text: str, ends: list[int]) -> None:
+        self.text, self.clean = text, (0, 0)
+        self.ends: dict[str, list[tuple[int, int]]] = {}
+        for at in ends:
+            if m := PEM_END.match(text, at):
+                self.ends.setdefault(m[1], []).append(m.span())
+
+    def end(self, start: int) -> int | None:
+        """Where the block that begins at start ends."""
+        m = PEM_BEGIN.match(self.text, start)
+        if m is None:
+            return None
+        ends = self.ends.get(m[1], [])
+        i = bisect.bisect_left(ends, (m.end(), 0))
+        if i == len(ends):
+            return None
+        # The stretch without other letters that was found last, from and to.
+        if not self.clean[0] <= m.end() <= self.clean[1]:
+            bad = NOT_PEM.search(self.text, m.end())
+            self.clean = (m.end(), bad.start() if bad else len(self.text))
+        return ends[i][1] if ends[i][0] <= self.clean[1] else None
+
+
 def _checked(m: re.Match) -> bool:
     return base62_crc32(m[2]) == m[3]
 
@@ -65,7 +98,7 @@ def _checked(m: re.Match) -> bool:
 def _json_header(m: re.Match) -> bool:
     try:
         head = json.loads(base64.urlsafe_b64decode(m[1] + "=" * (-len(m[1]) % 4)))
-    except (ValueError, binascii.Error):
+    except (ValueError, binascii.Error, RecursionError):
         return False
     return isinstance(head, dict) and "alg" in head
 
@@ -76,8 +109,9 @@ _RULES = {
     "akia": ("access", ACCESS, lambda m: len(m[0]) >= 18),
     **dict.fromkeys(("ghp_", "gho_", "ghu_", "ghs_", "ghr_"), ("github", CHECKED, _checked)),
     "npm_": ("npm", CHECKED, _checked),
-    "eyj": ("jwt", JWT, _json_header),
-    "-----begin ": ("pem", PEM, lambda m: True),
+    "eyj": ("jwt", JWT, lambda m: m[2] is not None and _json_header(m)),
+    "-----begin ": ("pem", PEM_BEGIN, lambda m: True),
+    "-----end ": ("pem", PEM_END, lambda m: False),
 }
 
 
@@ -102,14 +136,25 @@ def keyword_spans(text: str) -> list[tuple[int, int, str]]:
     hits = [(end - len(word) + 1, word) for end, word in _built[0].iter(low)]
     if not hits:
         return []
-    spans, past = [], dict.fromkeys(KINDS, 0)
+    spans, past, blocks = [], dict.fromkeys(KINDS, 0), None
     for start, word in sorted(hits):
         kind, pattern, passes = _RULES[word]
-        if start >= past[kind] and (m := pattern.match(text, start)):
-            # As a plain left-to-right search would, a match moves on even if it then fails the length or checksum.
-            if kind in BASE_KINDS or passes(m):
+        if start < past[kind]:
+            continue
+        if kind == "pem":
+            if blocks is None:
+                blocks = _Blocks(text, [at for at, w in hits if w == "-----end "])
+            if word == "-----begin " and (end := blocks.end(start)) is not None:
+                past[kind] = end
+                spans.append((start, end, kind))
+        elif m := pattern.match(text, start):
+            good = passes(m)
+            # As a plain left-to-right search would, a base match moves on even if it then fails the length.
+            if kind in BASE_KINDS or good:
                 past[kind] = m.end()
-            if passes(m):
+            elif kind == "jwt":
+                past[kind] = m.end(1)
+            if good:
                 spans.append((start, m.end(), kind))
     return spans
 
@@ -126,10 +171,12 @@ def column_spans(column: pa.Array) -> Iterator[list[tuple[int, int, str]]]:
         begins, ends = begins[long], ends[long]
         row = np.searchsorted(at, begins, side="right") - 1
         found: dict[int, list] = {}
-        for r, b, e in zip(row.tolist(), begins.tolist(), ends.tolist(), strict=True):
-            base = int(at[r])
-            before = int(np.count_nonzero((data[base:b] & 0xC0) != 0x80))
-            found.setdefault(r, []).append((before, before + e - b, "hex"))
+        if len(begins):
+            lead = np.zeros(len(data) + 1, np.int64)
+            np.cumsum((data & 0xC0) != 0x80, out=lead[1:])
+            before = lead[begins] - lead[at[row]]
+            for r, b, n in zip(row.tolist(), before.tolist(), (ends - begins).tolist(), strict=True):
+                found.setdefault(r, []).append((b, b + n, "hex"))
         for r, text in enumerate(column.slice(low, high - low).to_pylist()):
             spans = (keyword_spans(text) if text else []) + found.get(r, [])
             spans.sort(key=lambda s: (s[0], KINDS.index(s[2])))

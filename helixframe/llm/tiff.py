@@ -1,8 +1,10 @@
-"""TIFF: a writer of 8-bit grey pages and a reader of strips and tiles.
+"""TIFF: a writer of 8- and 16-bit grey pages and a reader of strips and tiles.
 
 The reader walks the chain of image directories of classic TIFF in either byte
 order, decodes uncompressed, PackBits, LZW and deflate data in strips or tiles, and
-undoes horizontal differencing of 8- and 16-bit samples.
+undoes horizontal differencing of 8- and 16-bit samples.  No strip or tile is decoded beyond the bytes
+that its page has room for, so that a small file cannot swell to more than its pages' claimed size.
+A page of more than MOST_BYTES is an error: no binary value of Spark or Arrow could hold its samples.
 """
 
 from __future__ import annotations
@@ -17,8 +19,8 @@ NONE, LZW, DEFLATE, OLD_DEFLATE, PACKBITS = 1, 5, 8, 32946, 32773
 NAMES = {NONE: "none", LZW: "lzw", DEFLATE: "deflate", OLD_DEFLATE: "deflate", PACKBITS: "packbits"}
 #: Bytes of a value of each TIFF field type that the reader needs.
 _TYPES = {1: "B", 3: "H", 4: "I"}
-#: A single page may not claim more samples than this.
-MOST_SAMPLES = 1 << 31
+#: The most bytes of a binary value.
+MOST_BYTES = (1 << 31) - 16
 
 
 class TiffError(ValueError):
@@ -53,9 +55,10 @@ def packbits_encode(data: bytes) -> bytes:
     return bytes(out)
 
 
-def packbits_decode(data: bytes) -> bytes:
+def packbits_decode(data: bytes, most: int | None = None) -> bytes:
+    """Decode until there are most bytes, where given."""
     out, i, n = bytearray(), 0, len(data)
-    while i < n:
+    while i < n and (most is None or len(out) < most):
         head = data[i]
         i += 1
         if head < 128:
@@ -176,23 +179,23 @@ def _compress(block: bytes, compression: int) -> bytes:
     return packbits_encode(block) if compression == PACKBITS else block
 
 
-def encode(pages: list[np.ndarray], compression: int = DEFLATE, predictor: int = 1, tile: tuple[int, int] | None = None, rows_per_strip: int = 64) -> bytes:
-    """A little-endian TIFF of 8-bit grey pages (each a height x width array)."""
-    out = bytearray(b"II*\0\0\0\0\0")
+def encode(pages: list[np.ndarray], compression: int = DEFLATE, predictor: int = 1, tile: tuple[int, int] | None = None, rows_per_strip: int = 64, order: str = "<") -> bytes:
+    """A TIFF of grey pages, each a height x width array of 8 or 16 bits; order: little (<) or big-endian (>)."""
+    out = bytearray(b"II*\0\0\0\0\0" if order == "<" else b"MM\0*\0\0\0\0")
     link = 4
     for page in pages:
         height, width = page.shape
         blocks = []
         if tile:
             th, tw = tile
-            padded = np.zeros((-(-height // th) * th, -(-width // tw) * tw), np.uint8)
+            padded = np.zeros((-(-height // th) * th, -(-width // tw) * tw), page.dtype)
             padded[:height, :width] = page
             parts = [padded[y : y + th, x : x + tw] for y in range(0, height, th) for x in range(0, width, tw)]
         else:
             parts = [page[y : y + rows_per_strip] for y in range(0, height, rows_per_strip)]
         for part in parts:
-            part = np.ascontiguousarray(part)
-            blocks.append(_compress((_difference(part[:, :, None]) if predictor == 2 else part).tobytes(), compression))
+            part = _difference(part[:, :, None]) if predictor == 2 else part
+            blocks.append(_compress(part.astype(page.dtype.newbyteorder(order)).tobytes(), compression))
         offsets = []
         for block in blocks:
             offsets.append(len(out))
@@ -204,20 +207,20 @@ def encode(pages: list[np.ndarray], compression: int = DEFLATE, predictor: int =
             if len(values) == 1:
                 return values[0]
             where = len(out)
-            out.extend(struct.pack(f"<{len(values)}I", *values))
+            out.extend(struct.pack(f"{order}{len(values)}I", *values))
             return where
 
         at_offsets, at_counts = many(offsets), many([len(b) for b in blocks])
-        entries = [(256, 4, 1, width), (257, 4, 1, height), (258, 3, 1, 8), (259, 3, 1, compression), (262, 3, 1, 1), (277, 3, 1, 1), (317, 3, 1, predictor)]
+        entries = [(256, 4, 1, width), (257, 4, 1, height), (258, 3, 1, 8 * page.dtype.itemsize), (259, 3, 1, compression), (262, 3, 1, 1), (277, 3, 1, 1), (317, 3, 1, predictor)]
         if tile:
             entries += [(322, 4, 1, tile[1]), (323, 4, 1, tile[0]), (324, 4, n, at_offsets), (325, 4, n, at_counts)]
         else:
             entries += [(273, 4, n, at_offsets), (278, 4, 1, rows_per_strip), (279, 4, n, at_counts)]
         entries.sort()
-        struct.pack_into("<I", out, link, len(out))
-        out += struct.pack("<H", len(entries))
+        struct.pack_into(f"{order}I", out, link, len(out))
+        out += struct.pack(f"{order}H", len(entries))
         for tag, kind, count, value in entries:
-            out += struct.pack("<HHII", tag, kind, count, value) if kind == 4 or count > 1 else struct.pack("<HHIHH", tag, kind, count, value, 0)
+            out += struct.pack(f"{order}HHII", tag, kind, count, value) if kind == 4 or count > 1 else struct.pack(f"{order}HHIHH", tag, kind, count, value, 0)
         link = len(out)
         out += b"\0\0\0\0"
     return bytes(out)
@@ -249,12 +252,12 @@ def _block(data: bytes, compression: int, size: int) -> bytes:
     if compression == NONE:
         out = data
     elif compression == PACKBITS:
-        out = packbits_decode(data)
+        out = packbits_decode(data, size)
     elif compression == LZW:
         out = lzw_decode(data, size)
     elif compression in (DEFLATE, OLD_DEFLATE):
         try:
-            out = zlib.decompress(data)
+            out = zlib.decompressobj().decompress(data, size)
         except zlib.error as e:
             raise TiffError(f"deflate data: {e}") from e
     else:
@@ -269,18 +272,20 @@ def _page(data: bytes, order: str, tags: dict[int, list[int]]) -> dict:
     width, height = one(256), one(257)
     bits, samples = one(258, 1), one(277, 1)
     compression, predictor = one(259, 1), one(317, 1)
-    if not width or not height or bits not in (8, 16) or one(284, 1) != 1 or len(set(tags.get(258, [8]))) > 1:
+    if not width or not height or not samples or bits not in (8, 16) or one(284, 1) != 1 or len(set(tags.get(258, [8]))) > 1:
         raise TiffError(f"unsupported layout: {width} x {height}, {bits} bits, planar {one(284, 1)}")
     if predictor not in (1, 2):
         raise TiffError(f"predictor {predictor} is not supported")
-    if width * height * samples > MOST_SAMPLES:
-        raise TiffError("too many samples")
+    if width * height * samples * bits // 8 > MOST_BYTES:
+        raise TiffError("a page of more bytes than a binary value holds")
     kind = np.dtype(np.uint8) if bits == 8 else np.dtype(np.uint16).newbyteorder(order)
     tiled = 322 in tags
     bw, bh = (one(322), one(323)) if tiled else (width, min(one(278, height), height))
     offsets, counts = (tags.get(324), tags.get(325)) if tiled else (tags.get(273), tags.get(279))
     if not bw or not bh or not offsets or not counts or len(offsets) != len(counts):
         raise TiffError("strip or tile tables are missing")
+    if bw * bh * samples * bits // 8 > MOST_BYTES:
+        raise TiffError("a tile of more bytes than a binary value holds")
     across, down = -(-width // bw), -(-height // bh)
     if len(offsets) < across * down:
         raise TiffError("strips or tiles are missing")

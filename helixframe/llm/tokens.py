@@ -11,11 +11,12 @@ once the attempt's manifest row is in, so a lost executor leaves no half-written
 Encoding is the tokenizer library's.  Its byte-level BPE works on each pre-token alone, so
 a text is cut into pre-tokens by vectorised code (the rule of the library's
 pre-tokenizer), each distinct one is encoded by the library once, and the ids
-are put together; slices of text with a special token's string, or with code points that Python's
-tables do not know, go to the library whole.
+are put together. Pre-tokens are looked up by a hash and compared byte by byte; in a slice where two differ under one hash,
+all texts go to the library whole, as do slices of text with a special token's string, or with code points that Python's
+tables do not know.
 
 Edge cases: a null or empty text is the end id alone; rows that repeat an id follow
-each other in the order of their text; a null doc_id comes first, as in Spark's ascending order; an
+each other in the order of their text's md5; a null doc_id comes first, as in Spark's ascending order; an
 empty table writes nothing and gives an empty result; further columns are ignored.
 """
 
@@ -99,6 +100,16 @@ def pretoken_starts(points: np.ndarray, row_at: np.ndarray) -> np.ndarray:
     return start
 
 
+def stretches(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The numbers start, start + 1, ... of all stretches, end to end."""
+    return np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+
+
+def same_spans(words: np.ndarray, at: np.ndarray, counts: np.ndarray, sizes: np.ndarray, others: np.ndarray, other_at: np.ndarray, other_sizes: np.ndarray) -> bool:
+    """Whether each span's bytes (counts words of `words` from `at`) are those of the other one (from other_at in others)."""
+    return np.array_equal(sizes, other_sizes) and np.array_equal(words[stretches(at, counts)], others[stretches(other_at, counts)])
+
+
 class Encoder:
     """Encodes columns of text; remembers the ids of pre-tokens."""
 
@@ -116,9 +127,19 @@ class Encoder:
         self.ids = np.zeros(1 << 16, np.uint32)
         self.starts = np.zeros(1, np.int64)
         self.used = 0
-
-    def _learn(self, keys: np.ndarray, places: np.ndarray, texts: list[str]) -> None:
-        """Encode new pre-tokens; places: where their sorted keys go among the known ones."""
+        # The pre-tokens themselves by slot, as the words of K.span_words and their bytes.
+        self.words = np.zeros(1 << 16, np.uint64)
+        self.word_starts = np.zeros(1, np.int64)
+        self.sizes = np.zeros(0, np.int64)
+
+    def _learn(self, keys: np.ndarray, places: np.ndarray, texts: list[str], words: np.ndarray, counts: np.ndarray, sizes: np.ndarray) -> None:
+        """Encode new pre-tokens; places: where their sorted keys go among the known ones; words, counts, sizes: their bytes."""
+        filled = int(self.word_starts[-1])
+        if filled + len(words) > len(self.words):
+            self.words = np.concatenate([self.words, np.zeros(len(self.words) + len(words), np.uint64)])
+        self.words[filled : filled + len(words)] = words
+        self.word_starts = np.concatenate([self.word_starts, filled + np.cumsum(counts)])
+        self.sizes = np.concatenate([self.sizes, sizes])
         lengths, flat = [], []
         for i in range(0, len(texts), 4096):
             for got in self.library.encode_batch_fast(texts[i : i + 4096], add_special_tokens=False):
@@ -141,29 +162,40 @@ class Encoder:
             return places, np.zeros(len(kinds), bool)
         return places, self.keys[np.minimum(places, len(self.keys) - 1)] == kinds
 
+    def whole(self, raw: bytes, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """slice() by the library alone."""
+        each = [self.library.encode(raw[a:b].decode("utf-8"), add_special_tokens=False).ids for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+        return np.array([i for ids in each for i in ids], np.uint32), np.array([len(ids) for ids in each], np.int64)
+
     def slice(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all rows, end to end, and the ids in each row."""
         raw = data.tobytes()
         points = np.frombuffer(raw.decode("utf-8").encode("utf-32-le"), np.uint32)
         if any(s in raw for s in self.specials) or (classes()[points] == UNKNOWN).any():
-            each = [self.library.encode(raw[a:b].decode("utf-8"), add_special_tokens=False).ids for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-            return np.array([i for ids in each for i in ids], np.uint32), np.array([len(ids) for ids in each], np.int64)
+            return self.whole(raw, at)
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(at) - 1, np.int64)
         lead = np.flatnonzero((data & 0xC0) != 0x80)
         begins = lead[pretoken_starts(points, np.searchsorted(lead, at))]
         ends = np.append(begins[1:], len(data))
-        hashes = K.span_hashes(data, begins, ends)
-        kinds, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        sizes = ends - begins
+        words, counts = K.span_words(data, begins, ends)
+        at_word = np.cumsum(counts) - counts
+        kinds, first, which = np.unique(K.word_hashes(words, counts, sizes), return_index=True, return_inverse=True)
+        if not same_spans(words, at_word, counts, sizes, words, at_word[first][which], sizes[first][which]):
+            return self.whole(raw, at)
         if len(self.keys) + len(kinds) > MOST_REMEMBERED:
             self.forget()
         places, known = self._slots(kinds)
         if not known.all():
             new = np.flatnonzero(~known)
             texts = [raw[x:y].decode("utf-8") for x, y in zip(begins[first[new]].tolist(), ends[first[new]].tolist(), strict=True)]
-            self._learn(kinds[new], places[new], texts)
+            mine = first[new]
+            self._learn(kinds[new], places[new], texts, words[stretches(at_word[mine], counts[mine])], counts[mine], sizes[mine])
             places, _ = self._slots(kinds)
         slots = self.slots[places]
+        if not same_spans(words, at_word[first], counts[first], sizes[first], self.words, self.word_starts[slots], self.sizes[slots]):
+            return self.whole(raw, at)
         lengths = (self.starts[slots + 1] - self.starts[slots])[which]
         upto = np.cumsum(lengths)
         ids = self.ids[np.repeat(self.starts[slots][which] - (upto - lengths), lengths) + np.arange(upto[-1])]
@@ -197,7 +229,7 @@ MANIFEST = "part int, path string, width int, n_docs long, n_ids long"
 def write_parts(docs: DataFrame, tokenizer: str, folder: str, end: int = END_ID) -> DataFrame:
     """Write the files under a folder that all executors share; one manifest row per part, in the order of doc_id."""
     importable(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).withColumn("mark", F.md5("text")).repartitionByRange("doc_id", "mark").sortWithinPartitions("doc_id", "mark").drop("mark")
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
@@ -235,19 +267,28 @@ def write_parts(docs: DataFrame, tokenizer: str, folder: str, end: int = END_ID)
     return manifest.withColumn("base", F.coalesce(F.sum("n_ids").over(order), F.lit(0)))
 
 
-def _mapped(store, path: str, kind: str) -> np.ndarray:
-    """A file as an array: memory-mapped where it is local to the file system, else read."""
+def _mapped(store, path: str, kind: str):
+    """A file as an array to be cut (low, high): memory-mapped where the file system is local, else read by stretches."""
     from pyarrow import fs
 
     if isinstance(store, fs.LocalFileSystem):
-        return np.memmap(path, kind, "r")
-    with store.open_input_file(path) as f:
-        return np.frombuffer(f.read(), kind)
+        whole = np.memmap(path, kind, "r")
+        return lambda low, high: whole[low:high]
+    size, f = np.dtype(kind).itemsize, store.open_input_file(path)
+    return lambda low, high: np.frombuffer(f.read_at((high - low) * size, low * size), kind)
 
 
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
+def crc_of(ids, low: int, high: int, most: int = 1 << 20) -> int:
+    """The crc32 of the ids low to high as 32-bit integers, so many at a time."""
+    crc = 0
+    for i in range(low, high, most):
+        crc = zlib.crc32(ids(i, min(i + most, high)).astype("<u4").tobytes(), crc)
+    return crc
+
+
 def read_parts(manifest: DataFrame, folder: str) -> DataFrame:
     """One row per document, from the files."""
     n = manifest.count()
@@ -263,9 +304,9 @@ def read_parts(manifest: DataFrame, folder: str) -> DataFrame:
                 doc = _mapped(store, f"{part['path']}.doc", "<i8")
                 for low in range(0, part["n_docs"], 4096):
                     high = min(low + 4096, part["n_docs"])
-                    bounds = off[low : high + 1].tolist()
-                    crc = [zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(bounds, bounds[1:], strict=False)]
-                    names = np.array(doc[low:high])
+                    bounds = off(low, high + 1).tolist()
+                    crc = [crc_of(ids, a, b) for a, b in zip(bounds, bounds[1:], strict=False)]
+                    names = np.array(doc(low, high))
                     starts, counts = np.array(bounds[:-1]) + part["base"], np.diff(bounds)
                     yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64(), mask=names == NULL_ID), pa.array(starts, pa.int64()), pa.array(counts, pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 

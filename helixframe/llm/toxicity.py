@@ -10,7 +10,7 @@ evidence is the sum of the learned log odds of the distinct (entry, edits) that
 occur; with the prior it makes the score.
 
 Edge cases: a null or empty text has the prior's score, below 0.5; null labels are not
-learned from, several labels of an id count by the largest; without toxic rows the lexicon is empty;
+learned from, several labels of an id count by the largest; without toxic rows the lexicon is empty and every score the prior's;
 repeated rows are scored each; an empty table gives an empty result; further columns are ignored.
 """
 
@@ -26,22 +26,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import crc_remainder, documents, importable, labelled_sample, labels, written
+from helixframe.llm.common import crc_remainder, documents, importable, labelled_sample, labels, removed, written
 from helixframe.llm.lexicon import Lexicon
 
 MAX_LABELLED = 20_000
-#: Beginnings of so many letters are considered, at most so many of them, and as many entries are kept.
+#: Stems have so many letters. Those that reach the driver stand in MIN_SHARE_OF_TOXIC of the sample's toxic documents
+#: or more, so their number is bounded by the sample's.
 SHORTEST, LONGEST = 4, 12
-MOST_CANDIDATES, MOST_ENTRIES = 50_000, 500
 #: Least number of different contexts among toxic documents, and share of toxic ones among documents with it.
 MIN_CONTEXTS, MIN_SHARE_OF_TOXIC, MIN_PRECISION = 6, 0.005, 0.98
 #: An entry is a whole word if so many of its toxic documents have that word.
 WHOLE = 0.9
-#: Log odds of occurrences that the sample has too few of, by edits: where the sample has at least
-#: WELL_KNOWN other documents, none of which has the occurrence, and where it has fewer.
+#: Log odds of occurrences that the sample has too few of, by edits.
 DEFAULT_ODDS = {0: 3.0, 1: 2.6, 2: 1.5}
-CAUTIOUS_ODDS = {0: 3.0, 1: 1.5, 2: 1.0}
-WELL_KNOWN = 1000
 MOST_ODDS = 6.0
 #: Words on either side that can open or close a quotation; what an occurrence inside counts.
 CONTEXT = 6
@@ -49,7 +46,9 @@ QUOTED = 0.15
 OPENING, CLOSING = "\"“„«‘'", "\"”“»’'"
 #: Words that announce someone else's.
 REPORTING = frozenset("said says wrote writes quote quoted called term word zitat sagte schrieb wort dit écrit mot citation dijo escribió palabra cita".split())
-MOST_REMEMBERED = 500_000
+#: A worker's memory of words is emptied at so many letters, and the automaton's of states at so many; both only save work.
+MOST_REMEMBERED = 48 << 20
+MOST_STATES = 50_000
 _STRIP = "\"“”„«»‘’'.,;:!?()[]{}*&%$#-_|<>~"
 
 
@@ -92,7 +91,7 @@ def learn_entries(sample: DataFrame) -> list[tuple[str, bool]]:
     n_toxic = totals.get(1, 0)
     least = max(MIN_CONTEXTS, math.ceil(MIN_SHARE_OF_TOXIC * n_toxic))
     often = _sample_counts(sample, in_toxic, "start string, n long").groupBy("start").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    candidates = frozenset(r.start for r in often.orderBy(F.desc("n"), "start").limit(MOST_CANDIDATES).collect())
+    candidates = frozenset(r.start for r in often.collect())
     if not candidates:
         return []
 
@@ -123,7 +122,7 @@ def learn_entries(sample: DataFrame) -> list[tuple[str, bool]]:
         whole = max((w for w in seen if w[-1] == "$" and w.startswith(b)), key=lambda w: (seen[w][0], w), default=None)
         entries.append((whole, False) if whole and seen[whole][0] >= WHOLE * good[b] else (b, True))
     entries.sort(key=lambda e: (-seen[e[0]][0], e[0]))
-    return [(e.rstrip("$"), stem) for e, stem in entries[:MOST_ENTRIES]]
+    return [(e.rstrip("$"), stem) for e, stem in entries]
 
 
 def hash_of(word: str) -> int:
@@ -136,6 +135,7 @@ class Finder:
     def __init__(self, entries: list[tuple[str, bool]]) -> None:
         self.lexicon = Lexicon(entries)
         self.known: dict[str, tuple[int, int] | None] = {}
+        self.letters = 0
 
     def occurrences(self, text: str) -> dict[tuple[int, int], float]:
         """By (entry, edits), how much the occurrence that counts most counts."""
@@ -145,8 +145,12 @@ class Finder:
             try:
                 hit = known[word]
             except KeyError:
-                if len(known) >= MOST_REMEMBERED:
+                self.letters += len(word) + 100
+                if self.letters >= MOST_REMEMBERED:
                     known.clear()
+                    self.letters = len(word)
+                if len(self.lexicon.states) >= MOST_STATES:
+                    self.lexicon.forget()
                 hit = known[word] = self.lexicon.nearest(bare(word))
             if hit is not None:
                 key = (hit[1], hit[0])
@@ -192,7 +196,7 @@ def learn_odds(sample: DataFrame, entries: list[tuple[str, bool]]) -> tuple[dict
             value = math.log((toxic + 0.5) / (n_toxic + 1)) - math.log((clean + 0.5) / (n_clean + 1))
             odds[key] = round(min(MOST_ODDS, max(0.0, value)), 6)
     for entry in range(len(entries)):
-        for edits, value in (DEFAULT_ODDS if n_clean >= WELL_KNOWN else CAUTIOUS_ODDS).items():
+        for edits, value in DEFAULT_ODDS.items():
             odds.setdefault((entry, edits), value)
     return odds, round(math.log((n_toxic + 0.5) / (n_clean + 0.5)), 6) if n_clean else -2.0
 
@@ -222,7 +226,9 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> tuple[l
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_labelled"))
     sample = written(sample.select(F.col("text").cast("string"), F.col("toxic").cast("int").alias("toxic")).dropDuplicates(), "toxicity-sample")
     entries = learn_entries(sample)
-    return entries, *learn_odds(sample, entries)
+    model = entries, *learn_odds(sample, entries)
+    removed(sample)
+    return model
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
