@@ -112,7 +112,7 @@ def word_hashes(words: np.ndarray, counts: np.ndarray, sizes: np.ndarray) -> np.
         return np.zeros(0, np.uint64)
     first = np.cumsum(counts) - counts
     if len(words) == len(counts):
-        key = np.uint64(_BASE)
+        key = np.full(1, _BASE, np.uint64)
     else:
         key = (np.arange(len(words)) - np.repeat(first, counts) + 1).astype(np.uint64) * np.uint64(_BASE)
     h = mix(words + key) * (mix(words ^ (key * np.uint64(0xD1B54A32D192ED03))) | np.uint64(1))

@@ -118,7 +118,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int =
 def gram_scores(ratios: np.ndarray, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The summed log ratio of each row, and its number of n-grams."""
     grams, counts = hashed_grams(data, at)
-    return np.bincount(K.rows_of(counts), ratios[grams], minlength=len(counts)), counts
+    return np.bincount(K.rows_of(counts), ratios[grams], minlength=len(counts)).astype(float), counts
 
 
 def column_scores(ratios: np.ndarray, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

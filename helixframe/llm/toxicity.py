@@ -99,14 +99,15 @@ def learn_entries(sample: DataFrame) -> list[tuple[str, bool]]:
         clean: Counter = Counter()
         after: defaultdict = defaultdict(set)
         for words, toxic in pairs:
-            words = [bare(w) for w in words]
             if toxic:
+                words = [bare(w) for w in words]
                 for before, w in zip(["", *words], words, strict=False):
                     for b in _beginnings(w):
                         if b in candidates:
                             after[b].add(hash_of(before))
             else:
-                clean.update({b for w in set(words) for b in _beginnings(w) if b in candidates})
+                # Where other documents only quote a word, it still marks toxic ones.
+                clean.update({b for i, w in enumerate(words) for b in _beginnings(bare(w)) if b in candidates and not quoted(words, i)})
         return ((b, list(after[b]), clean[b]) for b in {*after, *clean})
 
     table = _sample_counts(sample, contexts, "start string, after array<long>, clean long")

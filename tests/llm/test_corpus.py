@@ -55,7 +55,7 @@ def test_join_edges(odd):
     by_id = defaultdict(list)
     for doc, n, component in got:
         by_id[doc].append((n, component))
-    assert by_id[1] == [(56, 1)] and by_id[2] == [(56, 1)] or by_id[2] == [(56, 2)]
+    assert by_id[1] == [(56, 1)] and by_id[2] == [(56, 1)]
     assert by_id[3] == [(0, 3)] and by_id[4] == [(0, 4)] and by_id[5] == [(0, 5)]
     assert by_id[6] == [(1, 6)] * 2 and by_id[7] == [(1, 6)]
     assert by_id[None] == [(56, 1)]
