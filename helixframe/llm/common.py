@@ -68,6 +68,48 @@ def removed(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: A key is hot if it has more than this share of a table's rows; there are fewer such keys than its inverse.
+HOT_SHARE = 1 / 1024
+#: Ways that a hot key's rows are dealt where its partner is too large to broadcast.
+HOT_SALTS = 64
+
+
+def hot_keys(rows: DataFrame, key: str) -> list[int]:
+    """The values of a whole-number column that hold more than HOT_SHARE of the rows: fewer than 1 / HOT_SHARE of them, counted before the shuffle."""
+    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = rows.agg(F.count(F.lit(1)).alias("_n")).first()[0]
+    return [r[0] for r in counts.where(F.col("_n") > max(64, total * HOT_SHARE)).select(key).collect()]
+
+
+def _key_table(spark: SparkSession, key: str, values: list[int]) -> DataFrame:
+    return F.broadcast(spark.createDataFrame([(v,) for v in values], f"{key} long"))
+
+
+def joined_by_key(rows: DataFrame, other: DataFrame, key: str, how: str = "inner", hot: list[int] | None = None) -> DataFrame:
+    """rows with the columns of other, which has one small row per key. Hot keys' rows of other are broadcast (fewer than
+    1 / HOT_SHARE), so that no task gets all rows of a hot key; all else is shuffled. rows should be a written table."""
+    hot = hot_keys(rows, key) if hot is None else hot
+    if not hot:
+        return rows.join(other, key, how)
+    table = _key_table(rows.sparkSession, key, hot)
+    some = rows.join(table, key, "left_semi").join(F.broadcast(other.join(table, key, "left_semi")), key, how)
+    return some.unionByName(rows.join(table, key, "left_anti").join(other, key, how))
+
+
+def joined_by_salted_key(rows: DataFrame, other: DataFrame, key: str, by: str) -> DataFrame:
+    """rows with the columns of other, which has one row, of any size, per key: a hot key's rows are dealt by the column `by` into
+    HOT_SALTS parts and its row of other goes to each of them. rows should be a written table."""
+    hot = hot_keys(rows, key)
+    if not hot:
+        return rows.join(other, key)
+    table = _key_table(rows.sparkSession, key, hot).withColumn("_hot", F.lit(True))
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(by), F.lit(HOT_SALTS))).otherwise(F.lit(0)).cast("int")
+    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(HOT_SALTS - 1))).otherwise(F.array(F.lit(0)))
+    left = rows.join(table, key, "left").withColumn("_salt", salt).drop("_hot")
+    right = other.join(table, key, "left").withColumn("_salt", F.explode(salts)).drop("_hot")
+    return left.join(right, [key, "_salt"]).drop("_salt")
+
+
 def crc_remainder(doc_id: str, modulus: int):
     """crc32 of the id as text, modulo the given number."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus

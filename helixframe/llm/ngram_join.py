@@ -5,8 +5,8 @@ Documents of equal sets form one class, and all work after that is on classes.
 Two classes of n and m shingles link when they share T = ceil(4 (n + m) / 9) of them,
 which is a Jaccard similarity of 0.8.
 
-1. Inverted lists. List lengths are estimated by a sketch of fixed size over all
-   documents. Every class orders its shingles from short lists to long ones; the last
+1. Inverted lists. List lengths are estimated by a sketch over all
+   documents, with as many counters as documents up to a fixed most. Every class orders its shingles from short lists to long ones; the last
    T - 1 (T for the smallest partner) are its long lists and stay out of the index, as
    any partner has to occur on one of the others.
 2. Search. Lists are read in order, as a stream. First each member is only paired with
@@ -20,8 +20,9 @@ which is a Jaccard similarity of 0.8.
    long lists by binary search.
 
 Components are labelled by minimum propagation over written tables. Nothing that grows
-with the corpus is collected or broadcast: the sketch and a bitmap of candidate
-classes are of fixed size.
+with the corpus beyond a fixed size is collected or broadcast: sketch, bitmap of candidate classes, and the keys
+that hold more than 1/1024 of a table's rows. The rows of such hot keys (hubs of large groups, their labels, classes of many copies)
+are spread: a small partner is broadcast, a set goes to 64 salted parts.
 
 Edge cases: a text of one to four words is one shingle of them all; a null text, or one
 without words, has an empty set and is linked with nothing; rows that repeat an id are
@@ -44,12 +45,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixframe.llm import kernels as K
-from helixframe.llm.common import documents, importable, removed, unused, written
+from helixframe.llm.common import documents, hot_keys, importable, joined_by_key, joined_by_salted_key, removed, unused, written
 
 WORDS = 5
-#: Counters of the list-length sketch, and bits of the bitmap of candidate classes.
-SKETCH = 1 << 18
-BITMAP = 1 << 24
+#: Fewest and most counters of the list-length sketch (one for each document, in between), and bits of the bitmap of
+#: candidate classes (16 for each pair). Both only save work: longer tables tell more lists and classes apart.
+SKETCH = (1 << 16, 1 << 24)
+BITMAP = (1 << 20, 1 << 30)
 BLOCKS = 64
 #: DivideSkip's cost ratio between merging and probing.
 MU = 0.0085
@@ -100,6 +102,11 @@ def may_differ(n, m):
     return n + m - 2 * needed(n, m)
 
 
+def table_size(n: int, bounds: tuple[int, int]) -> int:
+    """The power of two from n on, within bounds."""
+    return min(max(1 << max(n - 1, 0).bit_length(), bounds[0]), bounds[1])
+
+
 def _blocks_out(whole: np.ndarray) -> Iterator[tuple[int, bytes]]:
     for i, part in enumerate(np.split(whole, BLOCKS)):
         if part.any():
@@ -127,15 +134,15 @@ def _merged(parts: DataFrame, dtype: str, join) -> np.ndarray | None:
     return whole
 
 
-def _members(docs: DataFrame) -> DataFrame:
-    """A row (doc_id, n, cls, data) per document, and rows (block, data) of the sketch.
+def _members(docs: DataFrame, size: int) -> DataFrame:
+    """A row (doc_id, n, cls, data) per document, and rows (block, data) of the sketch of so many counters.
 
     A document's data is its class's signature, at its first document in each task. A third column of docs, mark, is kept.
     """
     marked = len(docs.columns) > 2
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = np.zeros(SKETCH, np.int64)
+        sketch = np.zeros(size, np.int64)
         seen: set[int] = set()
         names = ["doc_id", "n", "cls", "block", "data"]
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary()]
@@ -147,7 +154,7 @@ def _members(docs: DataFrame) -> DataFrame:
                 signatures.append(signature(grams) if c is not None and c not in seen else None)
                 if c is not None and c not in seen:
                     seen.add(c)
-                    np.add.at(sketch, (grams >> np.uint64(40)).astype(np.int64) & (SKETCH - 1), 1)
+                    np.add.at(sketch, (grams >> np.uint64(32)).astype(np.int64) & (size - 1), 1)
                 sizes.append(len(grams))
                 classes.append(c)
             n = batch.num_rows
@@ -161,7 +168,7 @@ def _members(docs: DataFrame) -> DataFrame:
 def list_levels(sketch: np.ndarray | None) -> np.ndarray:
     """0 for counters that only the mass of rare shingles explains; above that, one more for each doubling."""
     if sketch is None:
-        return np.zeros(SKETCH, np.uint8)
+        return np.zeros(SKETCH[0], np.uint8)
     mean = sketch.mean()
     usual = mean + 6 * math.sqrt(mean) + 8
     return np.where(sketch > usual, 1 + np.floor(np.log2(np.maximum(sketch - mean, 1) / math.sqrt(usual))).clip(0, 60), 0).astype(np.uint8)
@@ -170,7 +177,7 @@ def list_levels(sketch: np.ndarray | None) -> np.ndarray:
 def short_lists(grams: np.ndarray, levels: np.ndarray) -> np.ndarray:
     """The shingles to index: all but the T - 1 of the longest lists, from short to long."""
     n = len(grams)
-    level = levels[(grams >> np.uint64(40)).astype(np.int64) & (SKETCH - 1)]
+    level = levels[(grams >> np.uint64(32)).astype(np.int64) & (len(levels) - 1)]
     ordered = grams[np.argsort(level, kind="stable")] if level.any() else grams
     return ordered[: n - (4 * n + 4) // 5 + 1]
 
@@ -239,28 +246,28 @@ def _lists(postings: DataFrame) -> DataFrame:
 
 
 def _candidate_sets(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(cls, grams) of the classes in any pair, by a bitmap of fixed size: a few others may come along."""
+    """(cls, grams) of the classes in any pair, by a bitmap: a few others may come along."""
+    n_bits = table_size(16 * pairs.count(), BITMAP)
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = np.zeros(BITMAP, bool)
+        bitmap = np.zeros(n_bits, bool)
         for batch in batches:
             for column in batch.columns:
-                bitmap[column.to_numpy() & (BITMAP - 1)] = True
+                bitmap[column.to_numpy() & (n_bits - 1)] = True
         for block, data in _blocks_out(np.packbits(bitmap)):
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([data], pa.binary())], ["block", "data"])
 
     marks = _merged(pairs.select("a", "b").mapInArrow(bits, "block int, data binary"), "u1", np.bitwise_or)
     if marks is None:
-        marks = np.zeros(BITMAP // 8, np.uint8)
+        marks = np.zeros(n_bits // 8, np.uint8)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        wanted = np.unpackbits(marks).astype(bool)
         for batch in batches:
             held: list[tuple[int, bytes]] = []
             size = 0
             for grams in shingle_sets(batch.column(1)):
-                if len(grams) and (c := class_of(grams)) not in seen and wanted[c & (BITMAP - 1)]:
+                if len(grams) and (c := class_of(grams)) not in seen and marks[(c & (n_bits - 1)) >> 3] >> (7 - (c & 7)) & 1:
                     seen.add(c)
                     held.append((c, grams.tobytes()))
                     size += len(grams)
@@ -320,7 +327,9 @@ def _occurs_enough(a: str = "na", b: str = "nb", times: str = "times"):
 def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) of classes that link, of a written table of candidates."""
     sets = _candidate_sets(docs, pairs).dropDuplicates(["cls"])
-    both = pairs.join(sets.select(F.col("cls").alias("a"), F.col("grams").alias("ga")), "a").join(sets.select(F.col("cls").alias("b"), F.col("grams").alias("gb")), "b")
+    # The first of a list (b) may be paired with a large group's every class.
+    heads = joined_by_salted_key(pairs, sets.select(F.col("cls").alias("b"), F.col("grams").alias("gb")), "b", "a")
+    both = heads.join(sets.select(F.col("cls").alias("a"), F.col("grams").alias("ga")), "a")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -341,10 +350,11 @@ def connected(edges: DataFrame) -> DataFrame:
     """(cls, label): for every end of an edge (a, b), the least of its component. Each round is a written table."""
     both = written(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "join-edges")
     labels = written(both.groupBy(F.col("a").alias("cls")).agg(F.min("b").alias("low")).select("cls", F.least("cls", "low").alias("label")), "join-labels")
+    hubs = hot_keys(both, "b")
     while True:
-        near = both.join(labels.select(F.col("cls").alias("b"), F.col("label").alias("other")), "b").groupBy(F.col("a").alias("cls")).agg(F.min("other").alias("near"))
+        near = joined_by_key(both, labels.select(F.col("cls").alias("b"), F.col("label").alias("other")), "b", hot=hubs).groupBy(F.col("a").alias("cls")).agg(F.min("other").alias("near"))
         jump = labels.select(F.col("cls").alias("label"), F.col("label").alias("far"))
-        following = labels.join(near, "cls").join(jump, "label", "left")
+        following = joined_by_key(labels, jump, "label", "left").join(near, "cls")
         following = written(following.select("cls", F.col("label").alias("was"), F.least("label", "near", F.coalesce("far", "label")).alias("label")), "join-labels")
         done = following.where("was != label").isEmpty()
         removed(labels)
@@ -410,7 +420,7 @@ def _open_pairs(lists: DataFrame, members: DataFrame, labels: DataFrame | None)
 
 def _indexed(docs: DataFrame, marked: bool = False) -> tuple[DataFrame, DataFrame]:
     """(members, lists), as written tables; marked members have the md5 of their text."""
-    first = written(_members(docs.withColumn("mark", F.md5("text")) if marked else docs), "join-members")
+    first = written(_members(docs.withColumn("mark", F.md5("text")) if marked else docs, table_size(docs.count(), SKETCH)), "join-members")
     levels = list_levels(_merged(first.where(F.col("block").isNotNull()), "i8", np.add))
     return first.where(F.col("block").isNull()).select("doc_id", "n", "cls", F.col("data").alias("signature"), *["mark"] * marked), written(_lists(_postings(docs, levels)), "join-lists")
 
@@ -442,10 +452,11 @@ def _labelled(docs: DataFrame, marked: bool = False) -> tuple[DataFrame, DataFra
 def components(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the least doc_id of those reachable by links)."""
     members, labels = _labelled(docs)
-    least = members.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("low")).join(labels, "cls", "left").withColumn("root", F.coalesce("label", "cls"))
+    least = members.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("low")).join(labels, "cls", "left")
+    least = written(least.select("cls", "low", F.coalesce("label", "cls").alias("root")), "join-roots")
     roots = least.groupBy("root").agg(F.min("low").alias("component_id"))
-    least = least.join(roots, "root").select(F.col("cls").alias("_cls"), "component_id")
-    out = members.join(least, F.col("cls") == F.col("_cls"), "left")
+    least = joined_by_key(least, roots, "root").select("cls", "component_id")
+    out = joined_by_key(members.select("doc_id", "n", "cls"), least, "cls", "left")
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 

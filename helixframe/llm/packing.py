@@ -29,7 +29,9 @@ from helixframe.llm.common import documents, importable, written
 WORD = r"[^\x20\x09-\x0D]+"
 #: Permitted lengths of a sequence, in words, and what one costs: its length and a quadratic share.
 SIZES = (256, 512, 1024, 2048)
-SALTS = 64
+#: Documents are dealt into one part for each so many of them, at least and at most so many parts; a part's documents are ranked in one task.
+DOCUMENTS_A_SALT = 100_000
+SALTS = (64, 1 << 16)
 
 
 def cost(size: int) -> float:
@@ -101,7 +103,9 @@ def pack(docs: DataFrame, sizes: tuple[int, ...] = SIZES) -> DataFrame:
     size = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long")
     rows = docs.select(F.col("doc_id").cast("long"), size.alias("size"))
     rows = rows.withColumn("whole", F.floor(F.col("size") / longest)).withColumn("rest", F.col("size") % longest)
-    rows = written(rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")), "pack-sizes")
+    salts = min(max(docs.count() // DOCUMENTS_A_SALT, SALTS[0]), SALTS[1])
+    # Rows that repeat an id are dealt by their size too.
+    rows = written(rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", "size"), F.lit(salts)).cast("int")), "pack-sizes")
 
     # The histogram has fewer rows than the longest length.
     histogram = {r.rest: r["count"] for r in rows.where("rest > 0").groupBy("rest").count().collect()}

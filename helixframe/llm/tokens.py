@@ -40,6 +40,8 @@ from helixframe.llm.common import documents, importable, shared_dir, written
 END_ID = 2
 TOKENIZER = "byte_bpe_50k.json"
 SLICE = 1 << 20
+#: Bytes of text of a part, about.
+PART_BYTES = 64 << 20
 #: Distinct pre-tokens that a worker remembers; then it starts anew.
 MOST_REMEMBERED = 1_000_000
 NULL_ID = -(1 << 63)
@@ -229,7 +231,10 @@ MANIFEST = "part int, path string, width int, n_docs long, n_ids long"
 def write_parts(docs: DataFrame, tokenizer: str, folder: str, end: int = END_ID) -> DataFrame:
     """Write the files under a folder that all executors share; one manifest row per part, in the order of doc_id."""
     importable(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).withColumn("mark", F.md5("text")).repartitionByRange("doc_id", "mark").sortWithinPartitions("doc_id", "mark").drop("mark")
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
+    n_parts = max(size // PART_BYTES, docs.sparkSession.sparkContext.defaultParallelism)
+    rows = rows.withColumn("mark", F.md5("text")).repartitionByRange(n_parts, "doc_id", "mark").sortWithinPartitions("doc_id", "mark").drop("mark")
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs

@@ -169,3 +169,32 @@ def test_token_files_of_empty_and_hot_tables(spark, tmp_path):
     assert [r.doc_id is not None for r in rows] == sorted(r.doc_id is not None for r in rows) and len(rows) == 3000
     crc = lambda t: zlib.crc32(np.array([*library.encode(t, add_special_tokens=False).ids, 2], "<u4").tobytes())
     assert sorted(r.ids_crc32 for r in rows) == sorted(crc(r.text) for r in docs.collect())
+
+
+def test_hot_keys_are_spread_and_join_alike(spark, monkeypatch):
+    """The joins give what a plain join gives, with hot keys, null keys and keys without a partner."""
+    from helixframe.llm import common
+
+    rows = spark.range(6000).selectExpr("case when id % 3 = 0 then 7 when id % 3 = 1 then null when id % 5 = 0 then id else 8 end as k", "id as a")
+    other = spark.range(0, 6000, 2).selectExpr("id as k", "id * 10 as v").unionByName(spark.createDataFrame([(7, 1)], "k long, v long"))
+    assert common.hot_keys(rows, "k") == [7, 8] or sorted(common.hot_keys(rows, "k")) == [7, 8]
+    key = lambda df: sorted((tuple(r) for r in df.select("k", "a", "v").collect()), key=str)
+    for how in ("inner", "left"):
+        assert key(common.joined_by_key(rows, other, "k", how)) == key(rows.join(other, "k", how))
+    assert key(common.joined_by_salted_key(rows, other, "k", "a")) == key(rows.join(other, "k"))
+
+
+def test_join_of_one_large_group_of_near_copies(spark):
+    """A hub of hundreds of near copies, exact copies of one of them, and others: one component each."""
+    r = random.Random(9)
+    words = [f"w{i}" for i in range(90)]
+    texts = [" ".join(words)] * 300
+    for _ in range(400):
+        copy = list(words)
+        copy[r.randrange(len(copy))] = f"z{r.random()}"
+        texts.append(" ".join(copy))
+    texts += [" ".join(f"{i}v{j}" for j in range(40)) for i in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    got = {x.doc_id: x.component_id for x in ngram_join.components(docs).collect()}
+    assert got == {i: 0 if i < 700 else i for i in range(1000)}
+    assert ngram_join.distinct_documents(docs).count() == 301
