@@ -444,9 +444,18 @@ def _labelled(docs: DataFrame, marked: bool = False) -> tuple[DataFrame, DataFra
     # Pairs with the first of a list; on a list where another class comes first the pair is not counted, so that some are left to the second step.
     stars = lists.groupBy(F.col("cls").alias("a"), F.col("head").alias("b"), F.col("n").alias("na"), F.col("head_n").alias("nb")).agg(F.count(F.lit(1)).alias("times"))
     stars = stars.where(_occurs_enough() & (10 * F.least("na", "nb") >= 8 * F.greatest("na", "nb"))).select("a", "b")
-    found = written(_verified(docs, written(stars, "join-pairs")), "join-links")
-    more = written(_verified(docs, written(_open_pairs(lists, members, connected(found)), "join-pairs")), "join-links")
-    return members, connected(found.unionByName(more))
+    pairs = written(stars, "join-pairs")
+    found = written(_verified(docs, pairs), "join-links")
+    removed(pairs)
+    known = connected(found)
+    pairs = written(_open_pairs(lists, members, known), "join-pairs")
+    removed(lists)
+    removed(known)
+    more = written(_verified(docs, pairs), "join-links")
+    labels = connected(found.unionByName(more))
+    for table in (pairs, found, more):
+        removed(table)
+    return members, labels
 
 
 def components(docs: DataFrame) -> DataFrame:
