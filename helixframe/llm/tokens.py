@@ -41,7 +41,7 @@ END_ID = 2
 TOKENIZER = "byte_bpe_50k.json"
 SLICE = 1 << 20
 #: Bytes of text of a part, about.
-PART_BYTES = 64 << 20
+PART_BYTES = 16 << 20
 #: Distinct pre-tokens that a worker remembers; then it starts anew.
 MOST_REMEMBERED = 1_000_000
 NULL_ID = -(1 << 63)
