@@ -9,6 +9,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows of an Arrow batch, unless the session has another value than Spark's own.
+ARROW_ROWS = ("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
 _ROOT = str(Path(__file__).resolve().parents[2])
 
 
@@ -22,11 +25,14 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def importable(spark: SparkSession) -> None:
-    """Let Python workers find this package where the session was started without it.
+    """Let Python workers find this package where the session was started without it, and keep Arrow batches small.
 
     On a cluster the package is installed or sent with --py-files; there the
     added entry names no folder and is ignored.
     """
+    # Bounds what an Arrow batch of long texts takes in the JVM and in Python; a value of the user's own stays.
+    if spark.conf.get(ARROW_ROWS[0]) == "10000":
+        spark.conf.set(*ARROW_ROWS)
     env = spark.sparkContext.environment
     if _ROOT not in env.get("PYTHONPATH", "").split(":"):
         env["PYTHONPATH"] = ":".join(x for x in (_ROOT, env.get("PYTHONPATH", "")) if x)
