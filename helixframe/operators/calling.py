@@ -9,11 +9,27 @@ from pyspark.sql import functions as F
 from helixframe.operators.intervals import TILE, band_join, joined_tiles, overlap_join
 from helixframe.operators.sequence import edit_similarity
 
-#: Genotype thresholds on the support ratio by size (up to 1000, larger) and called genotype; fixed values.
-DEL_THRESHOLDS = {"small_het": 0.60, "small_hom": 0.69, "large_het": 0.71, "large_hom": 0.91}
+#: Genotype thresholds on the support ratio by platform, type, size (up to 1000 letters, larger) and called genotype, as in the six
+#: parameter files (fixed values). A null one leaves the genotype.
+GT_THRESHOLDS = {
+    ("CLR", "DEL"): {"t_large_11": 0.55, "t_small_11": 0.59, "t_large_01": 0.65, "t_small_01": 0.75},
+    ("CLR", "INS"): {"t_large_11": None, "t_small_11": None, "t_large_01": 0.64, "t_small_01": 0.75},
+    ("Hifi", "DEL"): {"t_large_11": 0.6, "t_small_11": 0.69, "t_large_01": 0.71, "t_small_01": 0.91},
+    ("Hifi", "INS"): {"t_large_11": None, "t_small_11": 0.59, "t_large_01": 0.63, "t_small_01": 0.79},
+    ("ONT", "DEL"): {"t_large_11": 0.61, "t_small_11": 0.61, "t_large_01": 0.68, "t_small_01": 0.79},
+    ("ONT", "INS"): {"t_large_11": None, "t_small_11": None, "t_large_01": 0.67, "t_small_01": 0.72},
+}
 
-#: The reference's HiFi thresholds of both types; a null one leaves the genotype.
-HIFI_THRESHOLDS = {"DEL": {"small_het": 0.91, "small_hom": 0.69, "large_het": 0.71, "large_hom": 0.60}, "INS": {"small_het": 0.79, "small_hom": 0.59, "large_het": 0.63, "large_hom": None}}
+
+def thresholds_of(platform: str) -> dict[str, dict[str, float | None]]:
+    return {svtype: t for (p, svtype), t in GT_THRESHOLDS.items() if p == platform}
+
+
+def read_thresholds(spark, paths: dict[str, str]) -> dict[str, dict[str, float | None]]:
+    """The same from parameter files (name:value lines) by type; they have a handful of lines."""
+    from helixframe.sources.formats import read_parameters
+
+    return {svtype: {r.name: r.value for r in read_parameters(spark, path).collect()} for svtype, path in paths.items()}
 
 
 def _points(sigs: DataFrame) -> DataFrame:
@@ -32,29 +48,7 @@ def support(calls: DataFrame, sigs: DataFrame, width: int = 4000) -> DataFrame:
     return calls.join(near.groupBy("svid").agg(F.sum("p_n").alias("n_support")), "svid", "left").withColumn("n_support", F.coalesce("n_support", F.lit(0)))
 
 
-def spanning_depth(calls: DataFrame, alns: DataFrame, flank: int = 100) -> DataFrame:
-    """Alignments that reach past both sides of each call's start."""
-    spans = calls.select("svid", "chrom", (F.col("pos") - flank).alias("start"), (F.col("pos") + flank).alias("end"))
-    reads = alns.select("chrom", F.col("ref_start").alias("b_start"), F.col("ref_end").alias("b_end"))
-    hits = overlap_join(spans, reads).where("b_start < start AND b_end > end").groupBy("svid").agg(F.count(F.lit(1)).alias("n_cov"))
-    return calls.join(hits, "svid", "left").withColumn("n_cov", F.coalesce("n_cov", F.lit(0)))
-
-
-def corrected_genotype(ratio: Column, svlen: Column, gt: Column, t: dict[str, float | None] = DEL_THRESHOLDS) -> Column:
-    """1/1 where the ratio reaches the threshold of the size and called genotype, else 0/1; a null threshold leaves gt."""
-    key = lambda size: F.when(gt == "1/1", F.lit(t[f"{size}_hom"])).otherwise(F.lit(t[f"{size}_het"]))
-    threshold = F.when(svlen <= 1000, key("small")).otherwise(key("large"))
-    return F.when(threshold.isNull() | ratio.isNull(), gt).when(ratio >= threshold, "1/1").otherwise("0/1")
-
-
-def correct_genotypes(calls: DataFrame, sigs: DataFrame, alns: DataFrame) -> DataFrame:
-    """Calls with n_support, n_cov, n_ratio (1 without cover) and new_gt."""
-    both = support(calls, sigs).join(spanning_depth(calls, alns).select("svid", "n_cov"), "svid")
-    ratio = F.when(F.col("n_cov") == 0, F.lit(1.0)).otherwise(F.round(F.col("n_support") / F.col("n_cov"), 6))
-    return both.withColumn("n_ratio", ratio).withColumn("new_gt", corrected_genotype(F.col("n_ratio"), F.col("svlen"), F.col("gt")))
-
-
-def spanning_depth_by_type(calls: DataFrame, alns: DataFrame) -> DataFrame:
+def spanning_depth(calls: DataFrame, alns: DataFrame) -> DataFrame:
     """Alignments (n_cov, a double) past both sides of each call: of insertions, 100 about the start; of deletions up to 1000, the
     whole deletion; of larger ones, the mean over a probe of 100 that starts 150 before the start and one 150 past the end."""
     probe = lambda at, to: F.struct(at.cast("long").alias("start"), to.cast("long").alias("end"))
@@ -66,16 +60,31 @@ def spanning_depth_by_type(calls: DataFrame, alns: DataFrame) -> DataFrame:
     return calls.join(hits, "svid", "left").withColumn("n_cov", F.coalesce("n_cov", F.lit(0.0)))
 
 
-def correct_genotypes_by_type(calls: DataFrame, sigs: DataFrame, alns: DataFrame) -> DataFrame:
-    """As correct_genotypes, with the depth and thresholds of each type; a ratio has to pass its threshold, and other genotypes stay."""
-    both = support(calls, sigs).join(spanning_depth_by_type(calls, alns).select("svid", "n_cov"), "svid")
-    both = both.withColumn("n_ratio", F.when(F.col("n_cov") == 0, F.lit(1.0)).otherwise(F.round(F.col("n_support") / F.col("n_cov"), 6)))
+def corrected_genotype(ratio: Column, svtype: Column, svlen: Column, gt: Column, thresholds: dict[str, dict[str, float | None]]) -> Column:
+    """1/1 where the ratio passes the threshold of type, size and called genotype, else 0/1; without a threshold, and for other genotypes, gt stays."""
     limit = F.lit(None).cast("double")
-    for svtype, t in HIFI_THRESHOLDS.items():
+    for kind, t in thresholds.items():
         for name, value in t.items():
-            size, of = F.col("svlen") <= 1000 if name.startswith("small") else F.col("svlen") > 1000, "1/1" if name.endswith("hom") else "0/1"
-            limit = F.when((F.col("svtype") == svtype) & size & (F.col("gt") == of), F.lit(value).cast("double")).otherwise(limit)
-    return both.withColumn("new_gt", F.when(limit.isNull(), F.col("gt")).when(F.col("n_ratio") > limit, "1/1").otherwise("0/1"))
+            _, size, called = name.split("_")
+            here = (svtype == kind) & (svlen > 1000 if size == "large" else svlen <= 1000) & (gt == "/".join(called))
+            limit = F.when(here, F.lit(value).cast("double")).otherwise(limit)
+    return F.when(limit.isNull() | ratio.isNull(), gt).when(ratio > limit, "1/1").otherwise("0/1")
+
+
+def correct_genotypes(calls: DataFrame, sigs: DataFrame, alns: DataFrame, thresholds: dict[str, dict[str, float | None]] | None = None) -> DataFrame:
+    """Calls with n_support, n_cov, n_ratio (1 without cover) and new_gt, by the HiFi thresholds unless others are given."""
+    both = support(calls, sigs).join(spanning_depth(calls, alns).select("svid", "n_cov"), "svid")
+    both = both.withColumn("n_ratio", F.when(F.col("n_cov") == 0, F.lit(1.0)).otherwise(F.col("n_support") / F.col("n_cov")))
+    return both.withColumn("new_gt", corrected_genotype(F.col("n_ratio"), F.col("svtype"), F.col("svlen"), F.col("gt"), thresholds or thresholds_of("Hifi")))
+
+
+def evaluation(rows: DataFrame, key: str, truth: Column, called: Column) -> DataFrame:
+    """(key, tp, fp, fn, precision, recall, f1), each ratio to 6 digits and null without a divisor."""
+    n = lambda a, b: F.sum((F.coalesce(called, F.lit(False)) == F.lit(a)).cast("long") * (F.coalesce(truth, F.lit(False)) == F.lit(b)).cast("long"))
+    x = rows.groupBy(key).agg(n(True, True).alias("tp"), n(True, False).alias("fp"), n(False, True).alias("fn"))
+    div = lambda p, q: F.round(F.try_divide(p.cast("double"), q.cast("double")), 6)
+    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
+    return x.select(key, "tp", "fp", "fn", div(tp, tp + fp).alias("precision"), div(tp, tp + fn).alias("recall"), div(2 * tp, 2 * tp + fp + fn).alias("f1"))
 
 
 def inversion_support(calls: DataFrame, alns: DataFrame, flank: int = 1000, least: int = 1, mapq: int = 0) -> DataFrame:
@@ -141,9 +150,13 @@ def components(edges: DataFrame) -> DataFrame:
     """
     spark = edges.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
+        there = spark.conf.get("spark.checkpoint.dir", None)
+        if not there and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         import tempfile
 
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="helixframe-"))
+        # A local session is one process on one machine.
+        spark.sparkContext.setCheckpointDir(there or tempfile.mkdtemp(prefix="helixframe-"))
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
     labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("label")).checkpoint()
     while True:

@@ -75,7 +75,7 @@ def subtract(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
 def complement(blocks: DataFrame, contigs: DataFrame) -> DataFrame:
     """The parts of contigs (chrom, length) that no block covers."""
     whole = contigs.select("chrom", F.lit(0).cast("long").alias("start"), F.col("length").alias("end"))
-    return subtract(whole, blocks, "chrom_key") if "chrom_key" in contigs.columns else subtract(whole.withColumn("key", F.col("chrom")), blocks, "key").drop("key")
+    return subtract(whole.withColumn("_key", F.col("chrom")), blocks, "_key").drop("_key")
 
 
 def joined_tiles(rows: DataFrame, tiles: DataFrame, keys: list[str]) -> DataFrame:

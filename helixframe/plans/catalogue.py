@@ -8,23 +8,12 @@ from pyspark.sql import functions as F
 
 from helixframe.operators import calling, cigar, greedy, intervals, sequence
 from helixframe.plans.adapters import ctes, frame
+from helixframe.plans.registry import QUERIES, SQL, query  # noqa: F401
 from helixframe.sources import formats
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
 K = 12
 
 
-def query(name: str, sql: str | None = None):
-    def keep(f):
-        QUERIES[name] = f
-        if sql:
-            SQL[name] = sql
-        return f
-
-    return keep
-
-
 def _blocks(df: DataFrame, *more: str) -> DataFrame:
     return df.select(*more, "chrom", F.col("pos").alias("start"), (F.col("pos") + F.col("svlen")).alias("end"))
 
@@ -33,13 +22,16 @@ def _named(df: DataFrame) -> DataFrame:
     return df.withColumnRenamed("start", "b_start").withColumnRenamed("end", "b_end")
 
 
-GT = ctes("calls", "sigs", "alns") + """
+#: Thresholds as in the HiFi parameter files of deletions and insertions.
+GT = ctes("calls", "sigs", "alns") + """, p AS (SELECT svid, chrom, pos - 100 AS s, pos + 100 AS e, 1 AS n FROM calls WHERE svtype = 'INS' UNION ALL SELECT svid, chrom, pos, pos + svlen, 1 FROM calls WHERE svtype = 'DEL' AND svlen <= 1000
+    UNION ALL SELECT svid, chrom, pos - 150, pos - 50, 2 FROM calls WHERE svtype = 'DEL' AND svlen > 1000 UNION ALL SELECT svid, chrom, pos + svlen + 150, pos + svlen + 250, 2 FROM calls WHERE svtype = 'DEL' AND svlen > 1000)
+, d AS (SELECT svid, CAST(count(*) AS DOUBLE) / max(n) AS n_cov FROM p JOIN alns a ON a.chrom = p.chrom AND a.ref_start < s AND a.ref_end > e GROUP BY svid)
 , g AS (SELECT chrom, svtype, pos, svlen, count(*) AS n FROM sigs GROUP BY ALL)
-, s AS (SELECT c.svid, CAST(sum(g.n) AS BIGINT) AS n_support FROM calls c JOIN g ON c.chrom = g.chrom AND c.svtype = g.svtype AND abs(c.pos - g.pos) <= greatest(500, CAST(floor(c.svlen * 2.3) AS BIGINT))
+, u AS (SELECT c.svid, CAST(sum(g.n) AS BIGINT) AS n_support FROM calls c JOIN g ON c.chrom = g.chrom AND c.svtype = g.svtype AND abs(c.pos - g.pos) <= greatest(500, CAST(floor(c.svlen * 2.3) AS BIGINT))
     AND least(c.svlen, g.svlen) * 10 >= greatest(c.svlen, g.svlen) * 6 GROUP BY c.svid)
-, d AS (SELECT c.svid, count(*) AS n_cov FROM calls c JOIN alns a ON c.chrom = a.chrom AND a.ref_start < c.pos - 100 AND a.ref_end > c.pos + 100 GROUP BY c.svid)
-, j AS (SELECT c.*, coalesce(n_support, 0) AS n_support, coalesce(n_cov, 0) AS n_cov, CASE WHEN coalesce(n_cov, 0) = 0 THEN 1.0 ELSE round(coalesce(n_support, 0) / n_cov, 6) END AS n_ratio
-    FROM calls c LEFT JOIN s USING (svid) LEFT JOIN d USING (svid))
+, j AS (SELECT c.*, coalesce(n_support, 0) AS n_support, coalesce(n_cov, 0.0) AS n_cov, CASE WHEN coalesce(n_cov, 0) = 0 THEN 1.0 ELSE coalesce(n_support, 0) / n_cov END AS n_ratio FROM calls c LEFT JOIN u USING (svid) LEFT JOIN d USING (svid))
+, t AS (SELECT *, CASE WHEN svtype = 'DEL' THEN CASE WHEN svlen <= 1000 THEN CASE gt WHEN '1/1' THEN 0.69 WHEN '0/1' THEN 0.91 END ELSE CASE gt WHEN '1/1' THEN 0.60 WHEN '0/1' THEN 0.71 END END
+    ELSE CASE WHEN svlen <= 1000 THEN CASE gt WHEN '1/1' THEN 0.59 WHEN '0/1' THEN 0.79 END ELSE CASE gt WHEN '0/1' THEN 0.63 END END END AS limit_ FROM j)
 """
 
 
@@ -47,16 +39,34 @@ GT = ctes("calls", "sigs", "alns") + """
 def _(spark: SparkSession, d: str) -> DataFrame:
     return calling.support(frame(spark, d, "calls"), frame(spark, d, "sigs")).select("svid", "n_support")
 
-
-@query("span_depth", GT + "SELECT svid, n_cov FROM j")
+@query("span_depth", GT + "SELECT svid, CAST(n_cov AS DOUBLE) AS n_cov FROM j")
 def _(spark, d):
     return calling.spanning_depth(frame(spark, d, "calls"), frame(spark, d, "alns")).select("svid", "n_cov")
 
 
-@query("gt_correct", GT + """SELECT svid, chrom, svtype, pos, svlen, gt, n_support, n_cov, CAST(n_ratio AS DOUBLE) AS n_ratio,
-  CASE WHEN n_ratio >= CASE WHEN svlen <= 1000 THEN CASE WHEN gt = '1/1' THEN 0.69 ELSE 0.60 END ELSE CASE WHEN gt = '1/1' THEN 0.91 ELSE 0.71 END END THEN '1/1' ELSE '0/1' END AS new_gt FROM j""")
+_NEW_GT = "CASE WHEN limit_ IS NULL THEN gt WHEN n_ratio > limit_ THEN '1/1' ELSE '0/1' END AS new_gt"
+
+
+def _corrected(spark, d) -> DataFrame:
+    return calling.correct_genotypes(frame(spark, d, "calls"), frame(spark, d, "sigs"), frame(spark, d, "alns"))
+
+
+@query("gt_correct", GT + f"SELECT svid, chrom, svtype, pos, svlen, gt, n_support, CAST(n_cov AS DOUBLE) AS n_cov, CAST(round(n_ratio, 6) AS DOUBLE) AS n_ratio, {_NEW_GT} FROM t")
+def _(spark, d):
+    return _corrected(spark, d).select("svid", "chrom", "svtype", "pos", "svlen", "gt", "n_support", "n_cov", F.round("n_ratio", 6).alias("n_ratio"), "new_gt")
+
+
+@query("eval_metrics", GT + f""", y AS (SELECT svtype, gt, {_NEW_GT} FROM t), x AS (SELECT svtype, count(*) FILTER (WHERE new_gt = '1/1' AND gt = '1/1') AS tp, count(*) FILTER (WHERE new_gt = '1/1' AND gt <> '1/1') AS fp, count(*) FILTER (WHERE new_gt <> '1/1' AND gt = '1/1') AS fn FROM y GROUP BY svtype)
+  SELECT svtype, tp, fp, fn, round(tp / (tp + fp), 6) AS precision, round(tp / (tp + fn), 6) AS recall, round(2 * tp / (2 * tp + fp + fn), 6) AS f1 FROM x""")
 def _(spark, d):
-    return calling.correct_genotypes(frame(spark, d, "calls"), frame(spark, d, "sigs"), frame(spark, d, "alns")).select("svid", "chrom", "svtype", "pos", "svlen", "gt", "n_support", "n_cov", "n_ratio", "new_gt")
+    return calling.evaluation(_corrected(spark, d), "svtype", F.col("gt") == "1/1", F.col("new_gt") == "1/1")
+
+
+@query("inv_support", ctes("calls", "alns") + """, e AS (SELECT svid, chrom, true AS first_, pos AS at_ FROM calls UNION ALL SELECT svid, chrom, false, pos + svlen FROM calls),
+  r AS (SELECT e.svid, first_, a.qname FROM e JOIN alns a ON a.chrom = e.chrom AND a.ref_start < at_ + 1000 AND a.ref_end > at_ - 1000 GROUP BY ALL HAVING min(is_reverse) < max(is_reverse)),
+  n AS (SELECT svid, count(*) FILTER (WHERE first_) AS n_start, count(*) FILTER (WHERE NOT first_) AS n_end FROM r GROUP BY svid) SELECT * FROM n WHERE n_start >= 1 AND n_end >= 1""")
+def _(spark, d):
+    return calling.inversion_support(frame(spark, d, "calls"), frame(spark, d, "alns"))
 
 
 @query("fp_filter", ctes("calls", "sigs") + """SELECT svid, chrom, pos, svlen FROM calls c WHERE svlen > 250 OR EXISTS (SELECT 1 FROM sigs g WHERE g.chrom = c.chrom AND abs(g.pos - c.pos) <= 500
@@ -100,22 +110,6 @@ def _(spark, d):
     return c.join(listed, "chrom", "left_anti").unionByName(c.where("length > 1200000").withColumn("chrom", F.concat("chrom", F.lit("_new"))))
 
 
-@query("size_filter", ctes("calls") + "SELECT svid, svlen FROM calls WHERE svlen BETWEEN 30 AND 50")
-def _(spark, d):
-    return frame(spark, d, "calls").where(F.col("svlen").between(30, 50)).select("svid", "svlen")
-
-
-@query("phase_gt", ctes("calls") + """SELECT svid, CASE WHEN gt = '1/1' THEN '1|1' WHEN pos % 2 = 0 THEN '1|0' ELSE '0|1' END AS phased, CAST(floor(pos / 100000) AS BIGINT) AS ps FROM calls""")
-def _(spark, d):
-    phased = F.when(F.col("gt") == "1/1", "1|1").when(F.col("pos") % 2 == 0, "1|0").otherwise("0|1")
-    return frame(spark, d, "calls").select("svid", phased.alias("phased"), F.floor(F.col("pos") / 100000).alias("ps"))
-
-
-@query("split_multiallelic", """SELECT p_partkey, row_number() OVER (PARTITION BY p_partkey ORDER BY i) - 1 AS allele_no, a AS allele FROM (SELECT p_partkey, unnest(string_split(p_name, ' ')) AS a, generate_subscripts(string_split(p_name, ' '), 1) AS i FROM part)""")
-def _(spark, d):
-    return spark.read.parquet(f"{d}/part.parquet").select("p_partkey", F.posexplode(F.split("p_name", " ")).alias("allele_no", "allele")).withColumn("allele_no", F.col("allele_no").cast("long"))
-
-
 @query("revcomp", ctes("reads") + "SELECT doc_id, reverse(translate(upper(seq), 'ACGT', 'TGCA')) AS rc FROM reads")
 def _(spark, d):
     return frame(spark, d, "reads").select("doc_id", sequence.reverse_complement(F.col("seq")).alias("rc"))
@@ -239,14 +233,6 @@ def _(spark, d):
     return intervals.run_lengths(frame(spark, d, "cover"), ["chrom"], "pos", "depth").select("chrom", "depth", F.col("start").cast("long").alias("run_start"), F.col("end").cast("long").alias("run_end"))
 
 
-@query("gap_assign", ctes("sigs") + """, b AS (SELECT chrom, pos AS s, pos + svlen AS e, svtype AS k FROM (SELECT DISTINCT chrom, pos, svlen, svtype FROM sigs)),
-  g AS (SELECT chrom, s, k, lag(e) OVER w AS pe, lag(k) OVER w AS pk FROM b WINDOW w AS (PARTITION BY chrom ORDER BY s, e, k)), x AS (SELECT *, CAST(floor((pe + s) / 2.0) AS BIGINT) AS m FROM g WHERE pe < s)
-  SELECT chrom, pe AS gap_start, s AS gap_end, k AS kind FROM x WHERE k = pk UNION ALL SELECT chrom, pe, m, pk FROM x WHERE k <> pk AND pe < m UNION ALL SELECT chrom, m, s, k FROM x WHERE k <> pk AND m < s""")
-def _(spark, d):
-    b = frame(spark, d, "sigs").select("chrom", F.col("pos").alias("start"), (F.col("pos") + F.col("svlen")).alias("end"), F.col("svtype").alias("kind")).distinct()
-    return intervals.assign_gaps(b).select("chrom", F.col("start").alias("gap_start"), F.col("end").alias("gap_end"), "kind")
-
-
 @query("gap_partitions", ctes("sigs") + """, u AS (SELECT DISTINCT * FROM sigs), p AS (SELECT *, CASE WHEN pos - lag(pos) OVER w <= 100 THEN 0 ELSE 1 END AS n FROM u WINDOW w AS (PARTITION BY chrom, svtype, hp ORDER BY pos, svlen, qname)),
   q AS (SELECT *, sum(n) OVER (PARTITION BY chrom, svtype, hp ORDER BY pos, svlen, qname ROWS UNBOUNDED PRECEDING) AS part FROM p) SELECT chrom, svtype, hp, CAST(part AS BIGINT) AS part, min(pos) AS first_pos, max(pos) AS last_pos, count(*) AS n FROM q GROUP BY ALL""")
 def _(spark, d):
@@ -267,14 +253,6 @@ def _(spark, d):
     return r.groupBy("source").agg(F.min("len").alias("low"), F.max("len").alias("high"), F.count(F.lit(1)).alias("n"))
 
 
-@query("inv_support", ctes("calls", "alns") + """SELECT svid, count(*) AS n_reads FROM (SELECT c.svid, a.qname FROM calls c JOIN alns a ON a.chrom = c.chrom AND a.ref_start < c.pos + 1000 AND a.ref_end > c.pos - 1000 GROUP BY ALL HAVING min(is_reverse) < max(is_reverse)) GROUP BY svid""")
-def _(spark, d):
-    near = frame(spark, d, "calls").select("svid", "chrom", (F.col("pos") - 1000).alias("start"), (F.col("pos") + 1000).alias("end"))
-    reads = frame(spark, d, "alns").select("chrom", F.col("ref_start").alias("b_start"), F.col("ref_end").alias("b_end"), "qname", "is_reverse")
-    both = intervals.overlap_join(near, reads).groupBy("svid", "qname").agg(F.min("is_reverse").alias("lo"), F.max("is_reverse").alias("hi")).where("lo < hi")
-    return both.groupBy("svid").agg(F.count(F.lit(1)).alias("n_reads"))
-
-
 @query("nearest_blocks", ctes("contigs", "calls") + """, d AS (SELECT svid, n_regionkey AS block, abs(svlen - n_nationkey * 40) AS dist, n_nationkey AS id FROM calls, nation), r AS (SELECT *, row_number() OVER (PARTITION BY svid ORDER BY dist, id) AS rk FROM d) SELECT svid, id, CAST(dist AS BIGINT) AS dist, rk FROM r WHERE rk <= 2""")
 def _(spark, d):
     # 25 blocks: the two nearest of each call come from an array of the blocks, so that no join is needed.
@@ -284,12 +262,6 @@ def _(spark, d):
     return calls.select("svid", F.posexplode(best).alias("rk", "b")).select("svid", F.col("b.id").alias("id"), F.col("b.dist").alias("dist"), (F.col("rk") + 1).cast("long").alias("rk"))
 
 
-@query("norm_cutoff", """WITH v AS (SELECT l_returnflag AS f, l_quantity / sqrt(l_quantity * l_quantity + (l_tax * 100) * (l_tax * 100)) AS x FROM lineitem) SELECT f, round(quantile_cont(x, 0.9), 6) AS cutoff FROM v GROUP BY f""")
-def _(spark, d):
-    x = F.col("l_quantity") / F.sqrt(F.col("l_quantity") * F.col("l_quantity") + (F.col("l_tax") * 100) * (F.col("l_tax") * 100))
-    return spark.read.parquet(f"{d}/lineitem.parquet").select(F.col("l_returnflag").alias("f"), x.alias("x")).groupBy("f").agg(F.round(F.percentile("x", F.lit(0.9)), 6).alias("cutoff"))
-
-
 @query("allele_counts", ctes("sigs") + "SELECT chrom, pos, CAST(sum(CASE WHEN svtype = 'INS' AND hp = 'hp1' THEN 1 ELSE 0 END) AS BIGINT) AS ins_hp1, CAST(sum(CASE WHEN svtype = 'INS' AND hp = 'hp2' THEN 1 ELSE 0 END) AS BIGINT) AS ins_hp2, CAST(sum(CASE WHEN svtype = 'DEL' AND hp = 'hp1' THEN 1 ELSE 0 END) AS BIGINT) AS del_hp1, CAST(sum(CASE WHEN svtype = 'DEL' AND hp = 'hp2' THEN 1 ELSE 0 END) AS BIGINT) AS del_hp2 FROM sigs GROUP BY chrom, pos")
 def _(spark, d):
     n = lambda t, h: F.sum(((F.col("svtype") == t) & (F.col("hp") == h)).cast("long"))
@@ -317,13 +289,6 @@ def _(spark, d):
     return t.withColumn("percent", F.round(100.0 * F.col("size") / F.max("size").over(W.partitionBy(F.lit(1))), 6))
 
 
-@query("outlier_rows", ctes("cover") + ", h AS (SELECT depth, count(*) AS n FROM cover GROUP BY depth), l AS (SELECT *, lag(n) OVER (ORDER BY depth) AS p, lead(n) OVER (ORDER BY depth) AS q FROM h) SELECT depth, n FROM l WHERE n > 3 * p AND n > 3 * q")
-def _(spark, d):
-    h = frame(spark, d, "cover").groupBy("depth").agg(F.count(F.lit(1)).alias("n"))
-    w = W.partitionBy(F.lit(1)).orderBy("depth")
-    return h.withColumn("p", F.lag("n").over(w)).withColumn("q", F.lead("n").over(w)).where("n > 3 * p AND n > 3 * q").select("depth", "n")
-
-
 _LEN = ctes("reads") + ", h AS (SELECT length(seq) AS len, count(*) AS n FROM reads GROUP BY ALL), c AS (SELECT *, sum(n) OVER (ORDER BY len) AS cn, sum(len * n) OVER (ORDER BY len DESC) AS cb, sum(n) OVER () AS tn, sum(len * n) OVER () AS tb FROM h)"
 
 
@@ -351,33 +316,12 @@ def _(spark, d):
     return frame(spark, d, "calls").where("svlen BETWEEN 0 AND 1000").groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("eval_metrics", GT + """, x AS (SELECT svtype, CAST(sum(CASE WHEN new_gt = '1/1' AND gt = '1/1' THEN 1 ELSE 0 END) AS BIGINT) AS tp, CAST(sum(CASE WHEN new_gt = '1/1' AND gt <> '1/1' THEN 1 ELSE 0 END) AS BIGINT) AS fp, CAST(sum(CASE WHEN new_gt <> '1/1' AND gt = '1/1' THEN 1 ELSE 0 END) AS BIGINT) AS fn
-  FROM (SELECT *, CASE WHEN n_ratio >= CASE WHEN gt = '1/1' THEN CASE WHEN svlen <= 1000 THEN 0.69 ELSE 0.91 END ELSE CASE WHEN svlen <= 1000 THEN 0.60 ELSE 0.71 END END THEN '1/1' ELSE '0/1' END AS new_gt FROM j) GROUP BY svtype)
-  SELECT svtype, tp, fp, fn, round(tp / (tp + fp), 6) AS precision, round(tp / (tp + fn), 6) AS recall, round(2 * tp / (2 * tp + fp + fn), 6) AS f1 FROM x""")
-def _(spark, d):
-    g = calling.correct_genotypes(frame(spark, d, "calls"), frame(spark, d, "sigs"), frame(spark, d, "alns"))
-    n = lambda a, b: F.sum(((F.col("new_gt") == "1/1") == F.lit(a)).cast("long") * ((F.col("gt") == "1/1") == F.lit(b)).cast("long"))
-    x = g.groupBy("svtype").agg(n(True, True).alias("tp"), n(True, False).alias("fp"), n(False, True).alias("fn"))
-    div = lambda p, q: F.round(F.try_divide(p.cast("double"), q.cast("double")), 6)
-    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
-    return x.select("svtype", "tp", "fp", "fn", div(tp, tp + fp).alias("precision"), div(tp, tp + fn).alias("recall"), div(2 * tp, 2 * tp + fp + fn).alias("f1"))
-
-
 @query("dedup_names", "SELECT conv_id, role, text FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn, text) AS rk FROM conversations) WHERE rk = 1")
 def _(spark, d):
     t = spark.read.parquet(f"{d}/conversations.parquet")
     return t.withColumn("rk", F.row_number().over(W.partitionBy("conv_id", "role").orderBy("turn", "text"))).where("rk = 1").select("conv_id", "role", "text")
 
 
-@query("redundancy_components", ctes("calls").replace("WITH ", "WITH RECURSIVE ", 1) + """, e AS (SELECT a.svid AS a, b.svid AS b FROM calls a JOIN calls b ON a.chrom = b.chrom AND a.svtype = b.svtype AND a.svid <> b.svid AND abs(a.pos - b.pos) <= 500
-  AND least(a.svlen, b.svlen) * 2 >= greatest(a.svlen, b.svlen)), r AS (SELECT DISTINCT a AS node, a AS seen FROM e UNION SELECT r.node, e.b FROM r JOIN e ON r.seen = e.a) SELECT node, min(seen) AS label FROM r GROUP BY node""")
-def _(spark, d):
-    calls = frame(spark, d, "calls").select("svid", "chrom", "svtype", "pos", "svlen")
-    points = calls.select(F.col("svid").alias("b"), F.col("chrom").alias("p_chrom"), F.col("svtype").alias("p_type"), F.col("pos").alias("p_pos"), F.col("svlen").alias("p_len"))
-    near = intervals.band_join(calls, points, F.lit(500), 2000).where("svtype = p_type AND svid < b AND least(svlen, p_len) * 2 >= greatest(svlen, p_len)")
-    return calling.components(near.select(F.col("svid").alias("a"), "b"))
-
-
 @query("seed_clusters")
 def _(spark, d):
     return greedy.seed_clusters(frame(spark, d, "sigs"))
@@ -420,41 +364,23 @@ def _(spark, d):
     return formats.contig_header(frame(spark, d, "contigs"), "chr[0-9]")
 
 
-_BY_TYPE = ctes("calls", "sigs", "alns") + """, p AS (SELECT svid, chrom, pos - 100 AS s, pos + 100 AS e, 1 AS n FROM calls WHERE svtype = 'INS' UNION ALL SELECT svid, chrom, pos, pos + svlen, 1 FROM calls WHERE svtype = 'DEL' AND svlen <= 1000
-    UNION ALL SELECT svid, chrom, pos - 150, pos - 50, 2 FROM calls WHERE svtype = 'DEL' AND svlen > 1000 UNION ALL SELECT svid, chrom, pos + svlen + 150, pos + svlen + 250, 2 FROM calls WHERE svtype = 'DEL' AND svlen > 1000)
-, d AS (SELECT svid, CAST(count(*) AS DOUBLE) / max(n) AS n_cov FROM p JOIN alns a ON a.chrom = p.chrom AND a.ref_start < s AND a.ref_end > e GROUP BY svid)
-, g AS (SELECT chrom, svtype, pos, svlen, count(*) AS n FROM sigs GROUP BY ALL)
-, u AS (SELECT c.svid, CAST(sum(g.n) AS BIGINT) AS n_support FROM calls c JOIN g ON c.chrom = g.chrom AND c.svtype = g.svtype AND abs(c.pos - g.pos) <= greatest(500, CAST(floor(c.svlen * 2.3) AS BIGINT))
-    AND least(c.svlen, g.svlen) * 10 >= greatest(c.svlen, g.svlen) * 6 GROUP BY c.svid)
-, j AS (SELECT c.*, coalesce(n_support, 0) AS n_support, coalesce(n_cov, 0.0) AS n_cov, CASE WHEN coalesce(n_cov, 0) = 0 THEN 1.0 ELSE round(coalesce(n_support, 0) / n_cov, 6) END AS n_ratio FROM calls c LEFT JOIN u USING (svid) LEFT JOIN d USING (svid))
-, t AS (SELECT *, CASE WHEN svtype = 'DEL' THEN CASE WHEN svlen <= 1000 THEN CASE gt WHEN '1/1' THEN 0.69 WHEN '0/1' THEN 0.91 END ELSE CASE gt WHEN '1/1' THEN 0.60 WHEN '0/1' THEN 0.71 END END
-    ELSE CASE WHEN svlen <= 1000 THEN CASE gt WHEN '1/1' THEN 0.59 WHEN '0/1' THEN 0.79 END ELSE CASE gt WHEN '0/1' THEN 0.63 END END END AS limit_ FROM j)
-"""
-
-
-@query("span_depth_by_type", _BY_TYPE + "SELECT svid, CAST(n_cov AS DOUBLE) AS n_cov FROM j")
-def _(spark, d):
-    return calling.spanning_depth_by_type(frame(spark, d, "calls"), frame(spark, d, "alns")).select("svid", "n_cov")
+_REDUNDANT = ctes("calls", "alts").replace("WITH ", "WITH RECURSIVE ", 1) + """, v AS (SELECT * FROM calls JOIN alts USING (svid)),
+  e AS (SELECT a.svid AS a, b.svid AS b FROM v a JOIN v b ON a.chrom = b.chrom AND a.svtype = b.svtype AND a.svid <> b.svid AND CASE WHEN a.svtype = 'DEL'
+    THEN abs(a.pos - b.pos) <= 3000 AND least(a.svlen, b.svlen) * 10 >= greatest(a.svlen, b.svlen) AND least(a.pos + a.svlen, b.pos + b.svlen) >= greatest(a.pos, b.pos)
+    ELSE abs(a.pos - b.pos) <= 500 AND least(a.svlen, b.svlen) * 2 >= greatest(a.svlen, b.svlen) AND (length(a.alt) + length(b.alt) - levenshtein(a.alt, b.alt)) / (length(a.alt) + length(b.alt)) >= 0.5 END),
+  r AS (SELECT DISTINCT a AS node, a AS seen FROM e UNION SELECT r.node, e.b FROM r JOIN e ON r.seen = e.a), l AS (SELECT node AS svid, min(seen) AS label FROM r GROUP BY node)"""
 
 
-@query("gt_correct_by_type", _BY_TYPE + "SELECT svid, n_support, CAST(n_cov AS DOUBLE) AS n_cov, CAST(n_ratio AS DOUBLE) AS n_ratio, CASE WHEN limit_ IS NULL THEN gt WHEN n_ratio > limit_ THEN '1/1' ELSE '0/1' END AS new_gt FROM t")
+@query("redundancy_components", _REDUNDANT + " SELECT svid AS node, label FROM l")
 def _(spark, d):
-    return calling.correct_genotypes_by_type(frame(spark, d, "calls"), frame(spark, d, "sigs"), frame(spark, d, "alns")).select("svid", "n_support", "n_cov", "n_ratio", "new_gt")
-
-
-@query("inv_support_both_ends", ctes("calls", "alns") + """, e AS (SELECT svid, chrom, true AS first_, pos AS at_ FROM calls UNION ALL SELECT svid, chrom, false, pos + svlen FROM calls),
-  r AS (SELECT e.svid, first_, a.qname FROM e JOIN alns a ON a.chrom = e.chrom AND a.ref_start < at_ + 1000 AND a.ref_end > at_ - 1000 GROUP BY ALL HAVING min(is_reverse) < max(is_reverse)),
-  n AS (SELECT svid, count(*) FILTER (WHERE first_) AS n_start, count(*) FILTER (WHERE NOT first_) AS n_end FROM r GROUP BY svid) SELECT * FROM n WHERE n_start >= 1 AND n_end >= 1""")
-def _(spark, d):
-    return calling.inversion_support(frame(spark, d, "calls"), frame(spark, d, "alns"))
+    calls = frame(spark, d, "calls").join(frame(spark, d, "alts"), "svid")
+    return calling.components(calling.redundancy_links(calls))
 
 
-@query("redundancy_collapse", ctes("calls", "alts").replace("WITH ", "WITH RECURSIVE ", 1) + """, v AS (SELECT * FROM calls JOIN alts USING (svid)),
-  e AS (SELECT a.svid AS a, b.svid AS b FROM v a JOIN v b ON a.chrom = b.chrom AND a.svtype = b.svtype AND a.svid <> b.svid AND CASE WHEN a.svtype = 'DEL'
-    THEN abs(a.pos - b.pos) <= 3000 AND least(a.svlen, b.svlen) * 10 >= greatest(a.svlen, b.svlen) AND least(a.pos + a.svlen, b.pos + b.svlen) >= greatest(a.pos, b.pos)
-    ELSE abs(a.pos - b.pos) <= 500 AND least(a.svlen, b.svlen) * 2 >= greatest(a.svlen, b.svlen) AND (length(a.alt) + length(b.alt) - levenshtein(a.alt, b.alt)) / (length(a.alt) + length(b.alt)) >= 0.5 END),
-  r AS (SELECT DISTINCT a AS node, a AS seen FROM e UNION SELECT r.node, e.b FROM r JOIN e ON r.seen = e.a), l AS (SELECT node AS svid, min(seen) AS label FROM r GROUP BY node)
-  SELECT svid, CASE WHEN label IS NOT NULL THEN concat(svtype, ':', label) END AS collapse_id, label IS NULL OR row_number() OVER (PARTITION BY label ORDER BY svlen DESC, svid) = 1 AS kept FROM v LEFT JOIN l USING (svid)""")
+@query("redundancy_collapse", _REDUNDANT + """ SELECT svid, CASE WHEN label IS NOT NULL THEN concat(svtype, ':', label) END AS collapse_id, label IS NULL OR row_number() OVER (PARTITION BY label ORDER BY svlen DESC, svid) = 1 AS kept FROM v LEFT JOIN l USING (svid)""")
 def _(spark, d):
     calls = frame(spark, d, "calls").join(frame(spark, d, "alts"), "svid")
     return calling.collapse_redundant(calls).select("svid", "collapse_id", "kept")
+
+
+from helixframe.plans import more  # noqa: E402, F401
