@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -43,8 +45,12 @@ def dedup_signatures(sigs: DataFrame) -> DataFrame:
 def support(calls: DataFrame, sigs: DataFrame, width: int = 4000) -> DataFrame:
     """Reads that support each call: near it (500, or 2.3 lengths), of its type, of similar length (0.6). Missing is 0."""
     radius = F.greatest(F.lit(500), F.floor(F.col("svlen") * 2.3)).cast("long")
-    near = band_join(calls.select("svid", "chrom", "pos", "svlen", "svtype"), _points(dedup_signatures(sigs)), radius, width)
-    near = near.where((F.col("svtype") == F.col("p_type")) & (F.least("svlen", "p_len") * 10 >= F.greatest("svlen", "p_len") * 6))
+    # Lengths that differ by less than 5 / 3 are in the same class of powers of it or in neighbouring ones: type and class are join keys.
+    size_class = lambda c: F.floor(F.log(F.greatest(F.col(c), F.lit(1)).cast("double")) / math.log(5 / 3))
+    sized = calls.select("svid", "chrom", "pos", "svlen", "svtype").withColumn("_class", F.explode(F.array(*[size_class("svlen") + i for i in (-1, 0, 1)])))
+    points = _points(dedup_signatures(sigs)).withColumn("p_class", size_class("p_len"))
+    near = band_join(sized, points, radius, width, keys=(("svtype", "p_type"), ("_class", "p_class")))
+    near = near.where(F.least("svlen", "p_len") * 10 >= F.greatest("svlen", "p_len") * 6)
     return calls.join(near.groupBy("svid").agg(F.sum("p_n").alias("n_support")), "svid", "left").withColumn("n_support", F.coalesce("n_support", F.lit(0)))
 
 

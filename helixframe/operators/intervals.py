@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: Positions per bin of the range joins; choose it near the 99th percentile of lengths.
-BIN = 10_000
+BIN = 2_000
 #: Positions per tile in which blocks are merged first, so that no chromosome is sorted whole.
 TILE = 100_000
 
@@ -32,11 +32,13 @@ def overlap_join(a: DataFrame, b: DataFrame, width: int = BIN, how: str = "inner
     return out.drop("_bin") if how == "left_semi" else out.drop("_bin", "b_bin", "b_chrom")
 
 
-def band_join(calls: DataFrame, points: DataFrame, radius: Column, width: int, how: str = "inner") -> DataFrame:
-    """calls (chrom, pos) with points (p_chrom, p_pos) at most radius away; only the calls' bands are binned."""
+def band_join(calls: DataFrame, points: DataFrame, radius: Column, width: int, how: str = "inner", keys: tuple[tuple[str, str], ...] = ()) -> DataFrame:
+    """calls (chrom, pos) with points (p_chrom, p_pos) at most radius away and equal keys (column of calls, column of points); only the calls' bands are binned."""
     left = calls.withColumn("_radius", radius).withColumn("_bin", bins(F.col("pos") - F.col("_radius"), F.col("pos") + F.col("_radius") + 1, width))
     right = points.withColumn("p_bin", F.floor(F.col("p_pos") / width))
     on = (F.col("chrom") == F.col("p_chrom")) & (F.col("_bin") == F.col("p_bin")) & (F.abs(F.col("pos") - F.col("p_pos")) <= F.col("_radius"))
+    for ours, theirs in keys:
+        on = on & (F.col(ours) == F.col(theirs))
     return left.join(right, on, how).drop("_bin", "p_bin", "_radius")
 
 

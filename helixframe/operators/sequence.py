@@ -41,8 +41,89 @@ def edit_similarity(a: Column, b: Column) -> Column:
     return F.try_divide((total - F.levenshtein(a, b)).cast("double"), total.cast("double"))
 
 
+#: Windows that a task counts at once; a longer sequence is cut into overlapping pieces.
+WINDOWS = 1 << 20
+
+
+def _window_counts(texts: list[str], k: int, include_last: bool):
+    """Distinct windows of k letters of some texts and how often each occurs, in batches."""
+    import numpy as np
+    import pyarrow as pa
+
+    def as_texts(found: np.ndarray) -> pa.Array:
+        if found.dtype.kind == "U":
+            return pa.array(found.tolist(), pa.string())
+        offsets = np.arange(len(found) + 1, dtype=np.int32) * k
+        return pa.StringArray.from_buffers(len(found), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(found)))
+
+    def counted(pieces: list[str]):
+        whole = "".join(pieces)
+        ascii_only = whole.isascii()
+        letters = np.frombuffer(whole.encode("ascii"), "S1") if ascii_only else np.frombuffer(whole.encode("utf-32-le"), "<U1")
+        if len(letters) < k:
+            return None
+        ends = np.cumsum([len(p) for p in pieces])
+        starts = np.ones(len(letters) - k + 1, bool)
+        for i in range(1, k):
+            cut = ends[:-1] - i
+            starts[cut[(cut >= 0) & (cut < len(starts))]] = False
+        windows = np.lib.stride_tricks.sliding_window_view(letters, k)[starts]
+        joined = np.ascontiguousarray(windows).view(f"S{k}" if ascii_only else f"<U{k}").ravel()
+        if ascii_only and k <= 21:
+            # Letters of up to eight kinds fit three bits each: sorting numbers is faster than sorting texts.
+            kinds, code = np.unique(letters, return_inverse=True)
+            if len(kinds) <= 8:
+                code = code.astype(np.int64)
+                packed = np.zeros(len(starts), np.int64)
+                for i in range(k):
+                    packed = packed << 3 | code[i : i + len(starts)]
+                _, first, times = np.unique(packed[starts], return_index=True, return_counts=True)
+                return as_texts(joined[first]), times
+        found, times = np.unique(joined, return_counts=True)
+        return as_texts(found), times
+
+    held: list[str] = []
+    size = 0
+    for text in texts:
+        text = text if include_last else text[:-1]
+        for at in range(0, max(len(text) - k + 1, 0), WINDOWS):
+            piece = text[at : at + WINDOWS + k - 1]
+            held.append(piece)
+            size += len(piece)
+            if size >= WINDOWS:
+                yield counted(held)
+                held, size = [], 0
+    if held:
+        yield counted(held)
+
+
 def count_kmers(reads: DataFrame, k: int, *groups: str, include_last: bool = True) -> DataFrame:
-    return reads.select(*groups, F.explode(kmers(F.col("seq"), k, include_last)).alias("kmer")).groupBy(*groups, "kmer").agg(F.count(F.lit(1)).alias("cnt"))
+    """(groups, kmer, cnt) of the windows of k letters of seq; null and short sequences have none.
+
+    Windows are counted in each task by sorting them as numbers, so that only distinct ones with their counts are shuffled and no array of
+    all windows of a sequence ever stands in a row.
+    """
+    import pyarrow as pa
+
+    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in reads.select(*groups).schema.fields], "kmer string, cnt long"])
+
+    def rows(batches):
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            of: dict[tuple, list[str]] = {}
+            values = [table.column(g).to_pylist() for g in groups]
+            for i, text in enumerate(table.column("seq").to_pylist()):
+                if text is not None:
+                    of.setdefault(tuple(v[i] for v in values), []).append(text)
+            for key, texts in of.items():
+                for got in _window_counts(texts, k, include_last):
+                    if got is not None:
+                        n = len(got[1])
+                        columns = [pa.repeat(pa.scalar(v, table.schema.field(g).type), n) for g, v in zip(groups, key, strict=True)]
+                        yield pa.RecordBatch.from_arrays([*columns, got[0], pa.array(got[1], pa.int64())], [*groups, "kmer", "cnt"])
+
+    counts = reads.select(*groups, "seq").mapInArrow(rows, schema)
+    return counts.groupBy(*groups, "kmer").agg(F.sum("cnt").alias("cnt"))
 
 
 def unique_kmers(counts: DataFrame, group: str) -> DataFrame:
