@@ -1 +1 @@
-"""helixframe.functions"""
+"""Scalar functions on columns."""

@@ -86,13 +86,6 @@ def _(spark, d):
     return calling.deletion_cover(frame(spark, d, "calls"), frame(spark, d, "sigs"))
 
 
-@query("cov_filter", ctes("calls", "sigs") + """, v AS (SELECT c.svid, c.svtype, CAST(coalesce(sum(g.svlen), 0) AS BIGINT) AS cov FROM calls c LEFT JOIN sigs g ON g.svtype = 'DEL' AND g.chrom = c.chrom
-  AND g.pos <= c.pos + c.svlen + 100 AND g.pos + g.svlen >= c.pos - 100 WHERE c.svtype = 'DEL' GROUP BY ALL), m AS (SELECT quantile_cont(cov, 0.5) AS median FROM v) SELECT svid, cov FROM v, m WHERE cov >= 0.5 * median AND cov <= 2 * median""")
-def _(spark, d):
-    table = calling.deletion_cover(frame(spark, d, "calls"), frame(spark, d, "sigs")).withColumn("svtype", F.lit("DEL"))
-    return calling.median_ratio_filter(table, "svtype", "cov", 0.5, 2.0).select("svid", "cov")
-
-
 @query("sig_dedup", ctes("sigs") + "SELECT chrom, svtype, pos, svlen, count(*) AS n FROM sigs GROUP BY ALL")
 def _(spark, d):
     return calling.dedup_signatures(frame(spark, d, "sigs"))
@@ -253,21 +246,6 @@ def _(spark, d):
     return r.groupBy("source").agg(F.min("len").alias("low"), F.max("len").alias("high"), F.count(F.lit(1)).alias("n"))
 
 
-@query("nearest_blocks", ctes("contigs", "calls") + """, d AS (SELECT svid, n_regionkey AS block, abs(svlen - n_nationkey * 40) AS dist, n_nationkey AS id FROM calls, nation), r AS (SELECT *, row_number() OVER (PARTITION BY svid ORDER BY dist, id) AS rk FROM d) SELECT svid, id, CAST(dist AS BIGINT) AS dist, rk FROM r WHERE rk <= 2""")
-def _(spark, d):
-    # 25 blocks: the two nearest of each call come from an array of the blocks, so that no join is needed.
-    blocks = spark.read.parquet(f"{d}/nation.parquet").agg(F.array_sort(F.collect_set("n_nationkey")).alias("blocks"))
-    calls = frame(spark, d, "calls").join(F.broadcast(blocks))
-    best = F.slice(F.array_sort(F.transform("blocks", lambda b: F.struct(F.abs(F.col("svlen") - b * 40).alias("dist"), b.alias("id")))), 1, 2)
-    return calls.select("svid", F.posexplode(best).alias("rk", "b")).select("svid", F.col("b.id").alias("id"), F.col("b.dist").alias("dist"), (F.col("rk") + 1).cast("long").alias("rk"))
-
-
-@query("allele_counts", ctes("sigs") + "SELECT chrom, pos, CAST(sum(CASE WHEN svtype = 'INS' AND hp = 'hp1' THEN 1 ELSE 0 END) AS BIGINT) AS ins_hp1, CAST(sum(CASE WHEN svtype = 'INS' AND hp = 'hp2' THEN 1 ELSE 0 END) AS BIGINT) AS ins_hp2, CAST(sum(CASE WHEN svtype = 'DEL' AND hp = 'hp1' THEN 1 ELSE 0 END) AS BIGINT) AS del_hp1, CAST(sum(CASE WHEN svtype = 'DEL' AND hp = 'hp2' THEN 1 ELSE 0 END) AS BIGINT) AS del_hp2 FROM sigs GROUP BY chrom, pos")
-def _(spark, d):
-    n = lambda t, h: F.sum(((F.col("svtype") == t) & (F.col("hp") == h)).cast("long"))
-    return frame(spark, d, "sigs").groupBy("chrom", "pos").agg(*[n(t, h).alias(f"{t.lower()}_{h}") for t in ("INS", "DEL") for h in ("hp1", "hp2")])
-
-
 @query("cov_hist", ctes("cover") + "SELECT depth, count(*) AS freq FROM cover GROUP BY depth")
 def _(spark, d):
     return frame(spark, d, "cover").groupBy("depth").agg(F.count(F.lit(1)).alias("freq"))
@@ -383,4 +361,4 @@ def _(spark, d):
     return calling.collapse_redundant(calls).select("svid", "collapse_id", "kept")
 
 
-from helixframe.plans import more  # noqa: E402, F401
+from helixframe.plans import clusters, more  # noqa: E402, F401

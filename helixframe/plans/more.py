@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.operators import assignment, coverage, scores, sequence, splits, variants
+from helixframe.functions import scores
+from helixframe.operators import assignment, coverage, sequence, splits, variants
 from helixframe.plans.adapters import ctes, frame
 from helixframe.plans.registry import query
 

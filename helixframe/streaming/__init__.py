@@ -1 +1 @@
-"""helixframe.streaming"""
+"""Streaming forms of the positional sessions and windows, on event time."""
