@@ -90,3 +90,16 @@ def sketch_similarity(a: Column, b: Column, size: int) -> Column:
     """Jaccard similarity by the `size` smallest values of both sketches together."""
     union = F.slice(F.array_sort(F.array_union(a, b)), 1, size)
     return F.size(F.array_intersect(F.array_intersect(union, a), b)) / F.size(union)
+
+
+def pair_scores(reads: DataFrame, read_kmers: DataFrame, hap_kmers: DataFrame) -> DataFrame:
+    """(read, a, b, c, e): scores of reads (read, block1, block2) for the four haplotypes of their two blocks.
+
+    A k-mer of a read (read, kmer, cnt) counts for a haplotype (block, hp 1 or 2, kmer, cnt) if it has it alone among the four; then both counts are added.
+    """
+    places = reads.select("read", F.posexplode(F.array("block1", "block2")).alias("side", "block"))
+    rows = places.join(read_kmers.withColumnRenamed("cnt", "_r"), "read").join(hap_kmers.withColumnRenamed("cnt", "_h"), ["block", "kmer"])
+    alone = rows.groupBy("read", "kmer").agg(F.count(F.lit(1)).alias("_n"), F.first(F.col("side") * 2 + F.col("hp") - 1).alias("place"), F.first(F.col("_r") + F.col("_h")).alias("s")).where("_n = 1")
+    at = lambda i: F.coalesce(F.sum(F.when(F.col("place") == i, F.col("s"))), F.lit(0)).cast("double")
+    scored = alone.groupBy("read").agg(*[at(i).alias(n) for i, n in enumerate("abce")])
+    return reads.select("read").join(scored, "read", "left").na.fill(0.0, list("abce"))

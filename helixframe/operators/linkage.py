@@ -41,14 +41,17 @@ def complete_linkage(distances: np.ndarray, cut: float) -> np.ndarray:
 
 def linked(rows: DataFrame, keys: list[str], order: list[str], distance: Callable[[pd.DataFrame], np.ndarray], cut: float, most: int = MOST_MEMBERS) -> DataFrame:
     """Rows with `cluster` (from 0 in each key). distance gives the matrix of a key's rows; keys of more than `most` rows give none and never reach a task whole."""
-    small = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") <= most).drop("_n")
-    kept = rows.join(small, keys, "left_semi")
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") <= most)
+    kept = rows.join(counts, keys)
 
     def cluster(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order).reset_index(drop=True)
         return pdf.assign(cluster=complete_linkage(distance(pdf), cut))
 
-    return kept.groupBy(*keys).applyInPandas(cluster, ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields], "cluster long"]))
+    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields], "cluster long"])
+    several = kept.where("_n > 1").select(rows.columns).groupBy(*keys).applyInPandas(cluster, schema)
+    # A key's only row needs no Python.
+    return several.unionByName(kept.where("_n = 1").select(*rows.columns, F.lit(0).cast("long").alias("cluster")))
 
 
 def haplotype_text(window: Column, offset: Column, svtype: Column, start: Column, end: Column, alt: Column, copies: Column) -> Column:

@@ -469,3 +469,20 @@ def _(spark, d):
 @query("weighted_histogram", ctes("sigs") + "SELECT chrom, pos, CAST(sum(svlen) AS BIGINT) AS weight FROM sigs GROUP BY ALL")
 def _(spark, d):
     return frame(spark, d, "sigs").groupBy("chrom", "pos").agg(F.sum("svlen").alias("weight"))
+
+
+_PAIR = "SELECT doc_id AS read, doc_id % 5 AS block1, doc_id % 5 + 1 AS block2 FROM reads WHERE doc_id % 3 = 0"
+
+
+@query("kmer_read_assign", ctes("reads") + f""", k AS ({_OWN}), rk AS (SELECT doc_id AS read, kmer, count(*) AS cnt FROM k WHERE doc_id % 3 = 0 GROUP BY ALL), hk AS (SELECT doc_id % 6 AS block, doc_id % 2 + 1 AS hp, kmer, count(*) AS cnt FROM k WHERE doc_id % 3 = 1 AND doc_id % 7 = 0 GROUP BY ALL), p AS ({_PAIR}),
+  q AS (SELECT read, 0 AS side, block1 AS block FROM p UNION ALL SELECT read, 1, block2 FROM p), j AS (SELECT q.read, rk.kmer, side * 2 + hp - 1 AS place, rk.cnt + hk.cnt AS s FROM q JOIN rk USING (read) JOIN hk ON hk.block = q.block AND hk.kmer = rk.kmer), u AS (SELECT read, kmer, max(place) AS place, max(s) AS s FROM j GROUP BY ALL HAVING count(*) = 1),
+  t AS (SELECT p.read, [CAST(coalesce(sum(CASE WHEN place = 0 THEN s END), 0) AS DOUBLE), CAST(coalesce(sum(CASE WHEN place = 1 THEN s END), 0) AS DOUBLE), CAST(coalesce(sum(CASE WHEN place = 2 THEN s END), 0) AS DOUBLE), CAST(coalesce(sum(CASE WHEN place = 3 THEN s END), 0) AS DOUBLE)] AS v FROM p LEFT JOIN u USING (read) GROUP BY p.read),
+  z AS (SELECT read, CASE WHEN list_sum(v) = 0 THEN v ELSE [v[1] / l, v[2] / l, v[3] / l, v[4] / l] END AS v FROM (SELECT read, v, sqrt(v[1] * v[1] + v[2] * v[2] + v[3] * v[3] + v[4] * v[4]) AS l FROM t)), c AS (SELECT quantile_cont(y, 0.9) AS cutoff FROM (SELECT unnest(v) AS y FROM z)),
+  m AS (SELECT read, list_max(v) AS top, list_position(v, list_max(v)) - 1 AS best, cutoff FROM z, c) SELECT read, CAST(unnest(CASE WHEN top >= cutoff THEN [best] WHEN best < 2 THEN [0, 1] ELSE [2, 3] END) AS BIGINT) AS place FROM m""")
+def _(spark, d):
+    reads = frame(spark, d, "reads")
+    mine = reads.where("doc_id % 3 = 0").withColumnRenamed("doc_id", "read")
+    haps = reads.where("doc_id % 3 = 1 AND doc_id % 7 = 0").select((F.col("doc_id") % 6).alias("block"), (F.col("doc_id") % 2 + 1).alias("hp"), "seq")
+    pairs = spark.sql(_PAIR.replace("FROM reads", "FROM {r}"), r=reads)
+    scored = assignment.pair_scores(pairs, sequence.count_kmers(mine, 6, "read"), sequence.count_kmers(haps, 6, "block", "hp"))
+    return longs(assignment.assign_haplotypes(scored, "read", ["a", "b", "c", "e"], 0.1), "place")

@@ -189,3 +189,18 @@ def unchunked(hits: DataFrame, size: int = 1_000_000) -> DataFrame:
     """Hits (name, chunk from 1, start, end) in the coordinates of the whole sequence."""
     offset = (F.col("chunk") - 1) * size
     return hits.withColumn("start", F.col("start") + offset).withColumn("end", F.col("end") + offset).drop("chunk")
+
+
+def write_table(df: DataFrame, path: str, kind: str = "parquet") -> None:
+    """An intermediate table as Parquet, csv or tsv (with a header line)."""
+    out = df.write.mode("overwrite")
+    if kind == "parquet":
+        out.parquet(path)
+    else:
+        out.option("header", True).option("escape", '"').option("sep", {"csv": ",", "tsv": "\t"}[kind]).csv(path)
+
+
+def read_table(spark: SparkSession, path: str, kind: str, schema=None) -> DataFrame:
+    if kind == "parquet":
+        return spark.read.parquet(path)
+    return spark.read.option("header", True).option("escape", '"').option("sep", {"csv": ",", "tsv": "\t"}[kind]).csv(path, schema=schema)
