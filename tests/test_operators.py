@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from helixframe.operators import cigar, intervals, sequence
 
+# Published cases whose results must be met.
 GOLDEN = [
     ([(5, 10), (4, 20), (0, 10), (7, 10), (8, 5), (0, 5), (1, 50), (0, 30), (4, 25), (5, 15)], [(30, 50, 50, "INS")]),
     ([(5, 10), (4, 20), (0, 30), (2, 50), (0, 30), (4, 25), (5, 15)], [(30, 50, 50, "DEL")]),
@@ -11,6 +12,10 @@ GOLDEN = [
 ]
 
 
+# N, =, X and P move both, both, both and neither of the coordinates (N the reference only).
+GOLDEN.append(([(4, 3), (7, 20), (3, 100), (8, 2), (6, 7), (1, 31), (7, 5), (2, 30)], [(122, 25, 31, "INS"), (127, 61, 30, "DEL")]))
+
+
 @pytest.mark.parametrize("ops,expected", GOLDEN)
 def test_cigar_indels(spark, ops, expected):
     table = spark.createDataFrame([(1, i, o, n) for i, (o, n) in enumerate(ops)], "aln long, idx int, op int, len long")
