@@ -90,12 +90,13 @@ def joined_tiles(rows: DataFrame, tiles: DataFrame, keys: list[str]) -> DataFram
     return rows.join(tiles, on).drop(*[f"_of_{k}" for k in names])
 
 
-def depth(blocks: DataFrame, tile: int = TILE) -> DataFrame:
-    """(chrom, start, end, depth) of the stretches of equal cover, without stretches of none.
+def depth(blocks: DataFrame, tile: int = TILE, weight: Column | None = None) -> DataFrame:
+    """(chrom, start, end, depth) of the stretches of equal cover, without stretches of none. A block adds its weight, 1 if there is none.
 
     Steps are summed within tiles, to which the sums of the tiles before are added; no chromosome is sorted whole.
     """
-    ends = blocks.select("chrom", F.explode(F.array(F.struct(F.col("start").alias("at"), F.lit(1).alias("d")), F.struct(F.col("end").alias("at"), F.lit(-1).alias("d")))).alias("e"))
+    weight = F.lit(1) if weight is None else weight
+    ends = blocks.select("chrom", F.explode(F.array(F.struct(F.col("start").alias("at"), weight.alias("d")), F.struct(F.col("end").alias("at"), (-weight).alias("d")))).alias("e"))
     steps = ends.groupBy("chrom", F.col("e.at").alias("start")).agg(F.sum("e.d").alias("d")).where("d <> 0").withColumn("_tile", F.floor(F.col("start") / tile))
     order = W.partitionBy("chrom", "_tile").orderBy("start")
     across = W.partitionBy("chrom").orderBy("_tile")
@@ -106,6 +107,21 @@ def depth(blocks: DataFrame, tile: int = TILE) -> DataFrame:
     return out.select("chrom", "start", F.coalesce("_next", "_after").alias("end"), (F.col("_sum") + F.col("_before")).alias("depth")).where("depth > 0")
 
 
+def memberships(tracks: dict[str, DataFrame]) -> DataFrame:
+    """(chrom, start, end, n_tracks, tracks) of the stretches that the same tracks (blocks chrom, start, end; up to 62 of them) cover; tracks are named in their order, comma-joined.
+
+    Each track is merged first, so that the sum of powers of two over a stretch is its set of tracks.
+    """
+    if not 0 < len(tracks) <= 62:
+        raise ValueError("1 to 62 tracks")
+    merged = None
+    for i, blocks in enumerate(tracks.values()):
+        rows = merge_blocks(blocks).select("chrom", "start", "end", F.lit(1 << i).cast("long").alias("_bit"))
+        merged = rows if merged is None else merged.unionByName(rows)
+    names = F.concat_ws(",", *[F.when(F.col("depth").bitwiseAND(F.lit(1 << i).cast("long")) != 0, F.lit(t)) for i, t in enumerate(tracks)])
+    return depth(merged, weight=F.col("_bit")).select("chrom", "start", "end", F.bit_count("depth").alias("n_tracks"), names.alias("tracks"))
+
+
 def run_lengths(df: DataFrame, keys: list[str], pos: str, value: str) -> DataFrame:
     """Closed runs of equal value at consecutive positions."""
     island = F.col(pos) - F.row_number().over(W.partitionBy(*keys, value).orderBy(pos))

@@ -127,3 +127,97 @@ def hmm_train(df: DataFrame, model: dict, rounds: int, chunk: str = "chunk") ->
         moves = t[[f"to_{j}" for j in range(k)]].to_numpy() + 1e-12
         model = {"means": mean, "variances": np.maximum(t.xx.to_numpy() / n - mean**2, 1e-3), "transition": moves / moves.sum(axis=1, keepdims=True), "start": t["first"].to_numpy() / t["first"].sum(), "likelihood": float(t.likelihood.iloc[0])}
     return model
+
+
+def _growing_sums(x: np.ndarray, terms) -> np.ndarray:
+    """For each whole number of x, the sum of terms(0 .. x - 1)."""
+    return np.concatenate([[0.0], np.cumsum(terms(np.arange(int(x.max()), dtype=float)))])[x]
+
+
+def _negative_binomials(x: np.ndarray, sizes: np.ndarray, thetas: np.ndarray) -> np.ndarray:
+    """(values, components): log probabilities of sizes r and success probabilities theta."""
+    return np.column_stack([_growing_sums(x, lambda i, r=r: np.log((r + i) / (i + 1))) + r * np.log(t) + x * np.log1p(-t) for r, t in zip(sizes, thetas, strict=True)])
+
+
+def fit_negative_binomials(values: np.ndarray, counts: np.ndarray, ploidies: int = 4, tolerance: float = 1e-9, rounds: int = 2000) -> dict:
+    """A mixture of negative binomials, fitted to a histogram: one of errors, and one per ploidy with so many times the haploid mean and variance.
+
+    Expectation maximisation on the compound form (a Poisson number of logarithmic clusters), each two steps of which are
+    extrapolated by SQUAREM; an extrapolation that lowers the likelihood is halved towards the plain steps, so that none is lost.
+    Raises if it does not converge. likelihood, aic and bic are given beside the parameters.
+    """
+    order = np.argsort(values)
+    x, n = np.asarray(values, np.int64)[order], np.asarray(counts, float)[order]
+    p = np.arange(1, ploidies + 1)
+    valley = next((i for i in range(1, len(n) - 1) if n[i] <= n[i - 1] and n[i] < n[i + 1]), 0)
+    peak = max(float(x[valley + int(np.argmax(n[valley:]))]), 1.0)
+
+    def unpacked(u: np.ndarray):
+        """Sizes, success probabilities and weights of a point: log rate and logit of errors, of a ploidy, log weights."""
+        theta = np.clip(1 / (1 + np.exp(-np.clip(u[[1, 3]], -30, 30))), 1e-10, 1 - 1e-10)
+        size = np.exp(np.clip(u[[0, 2]], -30, 30)) / -np.log(theta)
+        w = np.exp(u[4:] - u[4:].max())
+        return np.concatenate([[size[0]], size[1] * p]), np.concatenate([[theta[0]], np.full(ploidies, theta[1])]), w / w.sum()
+
+    def joint(u: np.ndarray):
+        sizes, thetas, w = unpacked(u)
+        logs = _negative_binomials(x, sizes, thetas) + np.log(np.maximum(w, 1e-300))
+        top = logs.max(axis=1)
+        total = top + np.log(np.exp(logs - top[:, None]).sum(axis=1))
+        return logs, total, float((n * total).sum())
+
+    def step(u: np.ndarray) -> np.ndarray:
+        sizes, thetas, _ = unpacked(u)
+        logs, total, _ = joint(u)
+        share = np.exp(logs - total[:, None]) * n[:, None]
+        # Expected clusters of a value: r / r + r / (r + 1) + ... up to it.
+        clusters = np.column_stack([_growing_sums(x, lambda i, r=r: r / (r + i)) for r in sizes])
+        out = u.copy()
+        for part, at, copies in (([0], 0, np.ones(1)), (slice(1, None), 2, p)):
+            s, d, theta = share[:, part], clusters[:, part], thetas[part][0]
+            made = float((s * d).sum())
+            if s.sum() <= 1e-6 * n.sum() or made <= 0:
+                continue
+            beta = -theta / (1 - theta) - 1 / np.log(theta)
+            fresh = float(np.clip(beta * made / (s * (x[:, None] + d * (beta - 1))).sum(), 1e-10, 1 - 1e-10))
+            out[at] = np.log(made / float((s * copies).sum()))
+            out[at + 1] = np.log(fresh) - np.log1p(-fresh)
+        out[4:] = np.log(np.maximum(share.sum(axis=0) / n.sum(), 1e-12))
+        return out
+
+    theta = 0.5
+    u = np.concatenate([[np.log(max(peak / 20, 0.05) * -np.log(theta)), 0.0, np.log(peak * theta / (1 - theta) * -np.log(theta)), 0.0], np.full(ploidies + 1, -np.log(ploidies + 1))])
+    before = joint(u)[2]
+    for _ in range(rounds):
+        one = step(u)
+        two = step(one)
+        r, v = one - u, two - 2 * one + u
+        far = -float(np.linalg.norm(r) / max(np.linalg.norm(v), 1e-12))
+        reached = joint(two)[2]
+        while far < -1 - 1e-3:
+            ahead = u - 2 * far * r + far * far * v
+            if joint(ahead)[2] >= reached:
+                two = ahead
+                break
+            far = (far - 1) / 2
+        u = step(two)
+        now = joint(u)[2]
+        if abs(now - before) <= tolerance * abs(now):
+            sizes, thetas, w = unpacked(u)
+            mean, k = sizes[1] * (1 - thetas[1]) / thetas[1], 4 + ploidies
+            return {"mean": float(mean), "variance": float(mean / thetas[1]), "error_mean": float(sizes[0] * (1 - thetas[0]) / thetas[0]), "weights": w, "likelihood": now, "aic": 2 * k - 2 * now, "bic": k * float(np.log(n.sum())) - 2 * now}
+        before = now
+    raise ValueError("the mixture has not converged")
+
+
+def fit_negative_binomial_windows(histogram: DataFrame, key: str, ploidies: int = 4) -> DataFrame:
+    """(key, mean, variance, error_mean, aic, bic, weight_0 .. weight_p): one fit per window of a histogram (key, coverage, freq). A window's distinct coverages fit in a task."""
+    names = [f"weight_{i}" for i in range(ploidies + 1)]
+    single = ["mean", "variance", "error_mean", "aic", "bic"]
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        f = fit_negative_binomials(pdf.coverage.to_numpy(), pdf.freq.to_numpy(), ploidies)
+        return pd.DataFrame([{key: pdf[key].iloc[0], **{s: f[s] for s in single}, **dict(zip(names, f["weights"], strict=True))}])
+
+    kind = histogram.schema[key].dataType.simpleString()
+    return histogram.groupBy(key).applyInPandas(one, f"`{key}` {kind}, " + ", ".join(f"{c} double" for c in single + names))

@@ -138,3 +138,27 @@ def minimizers(reads: DataFrame, k: int, w: int) -> DataFrame:
     window = W.partitionBy("doc_id").orderBy("pos").rowsBetween(0, w - 1)
     full = rows.withColumn("m", F.min(F.struct("kmer", "pos")).over(window)).withColumn("n", F.count(F.lit(1)).over(window)).where(F.col("n") == w)
     return full.select("doc_id", F.col("m.pos").cast("long").alias("pos"), F.col("m.kmer").alias("kmer")).distinct()
+
+
+def parted_reads(reads: DataFrame, k: int, seq: str = "seq") -> tuple[DataFrame, DataFrame]:
+    """The reads of k letters or more without an N, and the others, null ones among them."""
+    good = F.coalesce((F.length(seq) >= k) & ~F.col(seq).contains("N"), F.lit(False))
+    return reads.where(good), reads.where(~good)
+
+
+def assembly_statistics(sequences: DataFrame, length: str) -> DataFrame:
+    """(name, length, n): N10 to N90 with the number of sequences, from the longest on, that reach that share of all letters; min, max, mean (whole) and total, with the number of all.
+
+    Lengths are counted first; the running sum is over distinct lengths.
+    """
+    counts = sequences.where(F.col(length).isNotNull()).groupBy(F.col(length).cast("long").alias("len")).agg(F.count(F.lit(1)).alias("n"))
+    down = W.partitionBy(F.lit(1)).orderBy(F.desc("len"))
+    whole = W.partitionBy(F.lit(1))
+    rows = counts.withColumn("sum", F.sum(F.col("len") * F.col("n")).over(down)).withColumn("rank", F.sum("n").over(down)).withColumn("total", F.sum(F.col("len") * F.col("n")).over(whole))
+    # Within a length, the rank is the first at which the sum gets there.
+    before, before_n = F.col("sum") - F.col("len") * F.col("n"), F.col("rank") - F.col("n")
+    shares = rows.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(9)))).where((F.col("sum") * 10 >= F.col("total") * F.col("k")) & (before * 10 < F.col("total") * F.col("k")))
+    more = F.ceil((F.col("total") * F.col("k") - before * 10) / (F.col("len") * 10)).cast("long")
+    nx = shares.select(F.concat(F.lit("N"), F.col("k") * 10).alias("name"), F.col("len").alias("length"), (before_n + more).alias("n"))
+    t = counts.agg(F.min("len").alias("min"), F.max("len").alias("max"), F.floor(F.sum(F.col("len") * F.col("n")) / F.sum("n")).alias("mean"), F.sum(F.col("len") * F.col("n")).alias("total"), F.sum("n").alias("n")).where("n is not null")
+    return nx.unionByName(t.unpivot("n", ["min", "max", "mean", "total"], "name", "length").select("name", "length", "n"))

@@ -219,3 +219,64 @@ def interspersed_duplications(breakends: DataFrame, least: int = MIN_SIZE, most:
     to = F.floor(F.when(fwd, F.col("b_pos1") + 1 + F.col("pos2")).otherwise(F.col("b_pos1") + F.col("pos2") + 1) / 2).cast("long")
     out = rows.select("qname", F.col("chrom1").alias("chrom"), start.alias("start"), end.alias("end"), F.col("b_chrom1").alias("to_chrom"), to.alias("to_pos"))
     return out.where((F.col("end") - F.col("start")).between(least, most))
+
+
+def read_split_variants(segments: DataFrame, least: int = 30, most: int | None = 50_000, slack: int = 100) -> DataFrame:
+    """Variants (qname, kind, chrom, pos, svlen, chrom2, pos2) of split reads, from windows of up to three segments (qname, q_start, q_end, chrom, ref_start, ref_end, is_reverse).
+
+    Neighbours on one chromosome and strand give INS or DEL by the difference of their distances on read and reference. In a read of three or
+    more segments this takes a window of three on that chromosome and strand: the pair that comes first on the reference counts if the third segment
+    begins past it, the window's other pair counts in the read's last window. Neighbours on two chromosomes give a translocation; kind is A (N[c:p[), B (N]c:p]), C ([c:p[N) or
+    D (]c:p]N), seen from the chromosome that sorts first. If a read of three or more segments has one, its first and last segment may give an INS.
+    The read's last two segments give a translocation only where the two before them lie on two chromosomes as well.
+    The length of an insertion or deletion is at most `most` (None: any).
+    """
+    w = W.partitionBy("qname").orderBy("q_start", "q_end", "chrom", "ref_start", "ref_end", "is_reverse")
+    one = F.struct("q_start", "q_end", "chrom", "ref_start", "ref_end", "is_reverse")
+    rows = segments.select("qname", one.alias("a"), F.lead(one).over(w).alias("b"), F.lead(one, 2).over(w).alias("c"), F.row_number().over(w).alias("i"), F.count(F.lit(1)).over(W.partitionBy("qname")).alias("n"))
+    rows = rows.where("b is not null")
+    a, b, c, i, n = (F.col(x) for x in "abcin")
+    empty = F.array().cast("array<struct<kind:string,chrom:string,pos:double,svlen:bigint,chrom2:string,pos2:bigint>>")
+
+    def found(kind, chrom, pos, svlen, chrom2=None, pos2=None) -> Column:
+        null = F.lit(None)
+        return F.struct(kind.alias("kind"), chrom.alias("chrom"), pos.cast("double").alias("pos"), (null if svlen is None else svlen).cast("long").alias("svlen"), (null if chrom2 is None else chrom2).cast("string").alias("chrom2"), (null if pos2 is None else pos2).cast("long").alias("pos2"))
+
+    def allowed(size: Column) -> Column:
+        return (size >= least) if most is None else size.between(least, most)
+
+    def indel(x: Column, y: Column) -> Column:
+        """Of neighbours x, y along the read, on one strand."""
+        rev = x["is_reverse"]
+        left_end, right_start = F.when(rev, y["ref_end"]).otherwise(x["ref_end"]), F.when(rev, x["ref_start"]).otherwise(y["ref_start"])
+        apart, gap = right_start - left_end, y["q_start"] - x["q_end"]
+        near = -apart < least
+        ins = F.when(near & (apart <= slack) & allowed(gap - apart), F.array(found(F.lit("INS"), x["chrom"], (right_start + left_end) / 2, gap - apart))).otherwise(empty)
+        return F.when(near & (gap <= slack) & allowed(apart - gap), F.array(found(F.lit("DEL"), x["chrom"], left_end, apart - gap))).otherwise(ins)
+
+    def translocation(x: Column, y: Column) -> Column:
+        """Of neighbours x, y along the read: its last letter of x and first of y are joined."""
+        out, into = F.when(x["is_reverse"], x["ref_start"]).otherwise(x["ref_end"]), F.when(y["is_reverse"], y["ref_end"]).otherwise(y["ref_start"])
+        first = x["chrom"] < y["chrom"]
+        same = x["is_reverse"] == y["is_reverse"]
+        kind = F.when(same, F.when(first != x["is_reverse"], "A").otherwise("D")).otherwise(F.when(x["is_reverse"], "C").otherwise("B"))
+        pick = lambda p, q: F.when(first, p).otherwise(q)
+        row = found(kind, pick(x["chrom"], y["chrom"]), pick(out, into), None, pick(y["chrom"], x["chrom"]), pick(into, out))
+        return F.when(y["q_start"] - x["q_end"] <= slack, F.array(row)).otherwise(empty)
+
+    one_chrom, last = a["chrom"] == b["chrom"], i == n - 2
+    alike = one_chrom & (b["chrom"] == c["chrom"]) & (a["is_reverse"] == b["is_reverse"]) & (b["is_reverse"] == c["is_reverse"])
+    beyond = F.when(a["is_reverse"], a["ref_start"]).otherwise(c["ref_start"]) >= b["ref_end"]
+    leading = F.when(beyond, F.when(a["is_reverse"], indel(b, c)).otherwise(indel(a, b))).otherwise(empty)
+    other = F.when(last, F.when(a["is_reverse"], indel(a, b)).otherwise(indel(b, c))).otherwise(empty)
+    of_two = F.when(~one_chrom, translocation(a, b)).when(a["is_reverse"] == b["is_reverse"], indel(a, b)).otherwise(empty)
+    of_three = F.when(~one_chrom, F.concat(translocation(a, b), F.when(last & (b["chrom"] != c["chrom"]), translocation(b, c)).otherwise(empty))).when(alike, F.concat(leading, other)).otherwise(empty)
+    pieces = rows.select("qname", F.explode(F.when(n == 2, of_two).when(c.isNotNull(), of_three).otherwise(empty)).alias("v")).select("qname", "v.*")
+    # Segments of another chromosome between the first and the last one may be an insertion.
+    moved = rows.where("n >= 3").groupBy("qname").agg(F.min(F.struct("i", "a")).alias("f"), F.max(F.struct("i", "b")).alias("l"), F.bool_or((i <= n - 2) & ~one_chrom).alias("moved")).where("moved")
+    x, y = F.col("f.a"), F.col("l.b")
+    rev = x["is_reverse"]
+    left_end, right_start = F.when(rev, y["ref_end"]).otherwise(x["ref_end"]), F.when(rev, x["ref_start"]).otherwise(y["ref_start"])
+    apart, gap = right_start - left_end, y["q_start"] - x["q_end"]
+    around = moved.where((x["chrom"] == y["chrom"]) & (rev == y["is_reverse"]) & (apart < slack) & allowed(gap - apart))
+    return pieces.unionByName(around.select("qname", found(F.lit("INS"), x["chrom"], F.least(left_end, right_start), gap - apart).alias("v")).select("qname", "v.*"))

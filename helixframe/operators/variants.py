@@ -154,3 +154,31 @@ def pair_haploid_calls(a: DataFrame, b: DataFrame) -> DataFrame:
     gt = F.concat_ws("|", F.coalesce(F.col("a").cast("string"), F.lit(".")), F.coalesce(F.col("b").cast("string"), F.lit(".")))
     kind = F.when(F.col("a").isNull() | F.col("b").isNull(), "GAP").when(F.col("a") != F.col("b"), "HET").otherwise("PASS")
     return rows.select("chrom", "pos", "ref", gt.alias("gt"), kind.alias("filter"), (F.coalesce("da", F.lit(0)) + F.coalesce("db", F.lit(0))).alias("ad"))
+
+
+def merged_inversions(calls: DataFrame, alns: DataFrame, apart: int, flank: int = 1000, least: int = 1, mapq: int = 0) -> DataFrame:
+    """(svid, chrom, start, end, gt, n) of inversions (svid, chrom, start, end, gt): neighbours of a chromosome whose ends are near are one call, the first, with
+    the haplotypes that any of them has; it stays if reads of both directions lie at both of its ends (see calling.inversion_support)."""
+    from helixframe.operators.calling import inversion_support
+
+    bits = F.split("gt", "/")
+    bit = lambda i: F.max(bits[i].cast("int")).cast("string")
+    first = F.min(F.struct("start", "end", "svid")).alias("f")
+    one = consecutive_clusters(calls, ["chrom"], ["start", "end"], apart).groupBy("chrom", "cluster").agg(first, F.concat_ws("/", bit(0), bit(1)).alias("gt"), F.count(F.lit(1)).alias("n"))
+    one = one.select("f.svid", "chrom", "f.start", "f.end", "gt", "n")
+    ends = one.select("svid", "chrom", F.col("start").alias("pos"), (F.col("end") - F.col("start")).alias("svlen"))
+    return one.join(inversion_support(ends, alns, flank, least, mapq).select("svid"), "svid")
+
+
+def merged_translocations(breakends: DataFrame, apart: int) -> DataFrame:
+    """(svid, chrom, pos, chrom2, pos2, bracket, gt, n) of breakends (svid, chrom, pos, chrom2, pos2, bracket, gt): one per cluster, its first; 1/1 if it has several.
+
+    In the order of (chrom, chrom2, bracket, pos, pos2, svid), one joins the cluster of the one before it if neither position is
+    more than `apart` past that one's.
+    """
+    w = W.partitionBy("chrom", "chrom2", "bracket").orderBy("pos", "pos2", "svid")
+    near = (F.col("pos") - F.lag("pos").over(w) <= apart) & (F.col("pos2") - F.lag("pos2").over(w) <= apart)
+    rows = breakends.withColumn("_new", F.when(near, 0).otherwise(1)).withColumn("_cluster", F.sum("_new").over(w.rowsBetween(W.unboundedPreceding, 0)))
+    first = F.min(F.struct("pos", "pos2", "svid", "gt")).alias("f")
+    out = rows.groupBy("chrom", "chrom2", "bracket", "_cluster").agg(first, F.count(F.lit(1)).alias("n"))
+    return out.select("f.svid", "chrom", "f.pos", "chrom2", "f.pos2", "bracket", F.when(F.col("n") > 1, "1/1").otherwise(F.col("f.gt")).alias("gt"), "n")

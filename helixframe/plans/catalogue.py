@@ -361,4 +361,4 @@ def _(spark, d):
     return calling.collapse_redundant(calls).select("svid", "collapse_id", "kept")
 
 
-from helixframe.plans import clusters, more  # noqa: E402, F401
+from helixframe.plans import clusters, more, wider  # noqa: E402, F401

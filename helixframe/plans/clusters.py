@@ -78,10 +78,15 @@ def _(spark, d):
     return linkage.tandem_runs(dups).withColumnsRenamed({"start": "v_start", "end": "v_end"})
 
 
+def ploidy_histogram(spark, d):
+    """(win, coverage, freq) with errors and two ploidies."""
+    return table(spark, d, "SELECT o_orderpriority AS win, CAST(12 + (o_orderkey * 7 % 5 + o_custkey % 5) + CASE WHEN o_orderkey % 7 = 0 THEN 16 ELSE 0 END - CASE WHEN o_orderkey % 11 = 0 THEN 12 ELSE 0 END AS bigint) AS coverage, count(*) AS freq FROM orders GROUP BY 1, 2", "orders")
+
+
 @query("mixture_fit")
 def _(spark, d):
     """The maximum of the likelihood has no closed form; the tests recover known mixtures."""
-    h = table(spark, d, "SELECT o_orderpriority AS win, CAST(12 + (o_orderkey * 7 % 5 + o_custkey % 5) + CASE WHEN o_orderkey % 7 = 0 THEN 16 ELSE 0 END - CASE WHEN o_orderkey % 11 = 0 THEN 12 ELSE 0 END AS bigint) AS coverage, count(*) AS freq FROM orders GROUP BY 1, 2", "orders")
+    h = ploidy_histogram(spark, d)
     out = models.fit_windows(h, "win", 2)
     return out.select("win", *[F.round(c, 4).alias(c) for c in out.columns if c != "win"])
 

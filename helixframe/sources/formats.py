@@ -173,6 +173,13 @@ def read_parameters(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).where("value like '%:%'").select(F.trim(F.regexp_extract(text, r"^([^:]*)", 1)).alias("name"), number.alias("value"))
 
 
+def read_parameter_table(spark: SparkSession, path: str) -> DataFrame:
+    """A table of parameters as comma-separated values with a header, which may begin with a byte order mark; nan is null, a column without other texts than numbers is double."""
+    rows = spark.read.csv(path, header=True, nanValue="nan", nullValue="nan", inferSchema=True, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
+    rows = rows.toDF(*[c.lstrip("\ufeff").strip() for c in rows.columns])
+    return rows.select(*[F.col(f.name).cast("double").alias(f.name) if f.dataType.typeName() in ("integer", "long", "double", "decimal") else F.col(f.name) for f in rows.schema.fields])
+
+
 def read_gfa_sequences(spark: SparkSession, path: str) -> DataFrame:
     """(name, seq) of the S lines."""
     return spark.read.text(path).where("startswith(value, 'S\\t')").select(*_columns(F.col("value"), ("_s", "name", "seq"))).drop("_s")
