@@ -51,11 +51,17 @@ def islands(df: DataFrame, keys: list[str], distance: int = 0) -> DataFrame:
     return marked.groupBy(*keys, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_island")
 
 
+def apart_from_borders(local: DataFrame, tile: int, distance: int = 0) -> DataFrame:
+    """Tile numbers of blocks that are merged within their tile: -1 for those near enough to a border to go on in the next one, so that only they are sorted together."""
+    near = (F.col("start") - F.col("_tile") * tile <= distance) | ((F.col("_tile") + 1) * tile - F.col("end") <= distance)
+    return local.withColumn("_tile", F.when(near, F.lit(-1).cast("long")).otherwise(F.col("_tile")))
+
+
 def merge_blocks(df: DataFrame, distance: int = 0, tile: int = TILE) -> DataFrame:
-    """Union of blocks: first within tiles, at whose borders blocks are cut, then over what is left of each chromosome."""
+    """Union of blocks: first within tiles, at whose borders blocks are cut, then over those of each chromosome that lie at a border."""
     cut = df.select("chrom", "start", "end", bins(F.col("start"), F.col("end"), tile).alias("_tile"))
     cut = cut.select("chrom", "_tile", F.greatest("start", F.col("_tile") * tile).alias("start"), F.least("end", (F.col("_tile") + 1) * tile).alias("end"))
-    return islands(islands(cut, ["chrom", "_tile"], distance).drop("_tile"), ["chrom"], distance)
+    return islands(apart_from_borders(islands(cut, ["chrom", "_tile"], distance), tile, distance), ["chrom", "_tile"], distance).drop("_tile")
 
 
 def intersect(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -74,10 +80,13 @@ def subtract(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     return before.unionByName(after).where("start < end").unionByName(none)
 
 
-def complement(blocks: DataFrame, contigs: DataFrame) -> DataFrame:
-    """The parts of contigs (chrom, length) that no block covers."""
-    whole = contigs.select("chrom", F.lit(0).cast("long").alias("start"), F.col("length").alias("end"))
-    return subtract(whole.withColumn("_key", F.col("chrom")), blocks, "_key").drop("_key")
+def complement(blocks: DataFrame, contigs: DataFrame, tile: int = TILE) -> DataFrame:
+    """The parts of contigs (chrom, length) that no block covers: sought in each tile, and joined where they meet at its border."""
+    tiles = contigs.select("chrom", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.greatest("length", F.lit(1)) - 1) / tile))).alias("_tile"))
+    whole = tiles.select("chrom", "_tile", (F.col("_tile") * tile).alias("start"), F.least("length", (F.col("_tile") + 1) * tile).alias("end"))
+    # A contig of many blocks is one key per tile. Borders lie between letters, so pieces meet but never overlap.
+    parts = subtract(whole.select(F.struct("chrom", "_tile").alias("_key"), "chrom", "start", "end"), blocks, "_key").select("chrom", F.col("_key._tile").alias("_tile"), "start", "end").where("start < end")
+    return islands(apart_from_borders(parts, tile), ["chrom", "_tile"]).drop("_tile")
 
 
 def joined_tiles(rows: DataFrame, tiles: DataFrame, keys: list[str]) -> DataFrame:
@@ -122,16 +131,23 @@ def memberships(tracks: dict[str, DataFrame]) -> DataFrame:
     return depth(merged, weight=F.col("_bit")).select("chrom", "start", "end", F.bit_count("depth").alias("n_tracks"), names.alias("tracks"))
 
 
-def run_lengths(df: DataFrame, keys: list[str], pos: str, value: str) -> DataFrame:
-    """Closed runs of equal value at consecutive positions."""
-    island = F.col(pos) - F.row_number().over(W.partitionBy(*keys, value).orderBy(pos))
-    return df.withColumn("_run", island).groupBy(*keys, value, "_run").agg(F.min(pos).alias("start"), F.max(pos).alias("end")).drop("_run")
+def run_lengths(df: DataFrame, keys: list[str], pos: str, value: str, tile: int = TILE) -> DataFrame:
+    """Closed runs of equal value at consecutive positions, found within tiles and joined at their borders. A position occurs once."""
+    rows = df.withColumn("_tile", F.floor(F.col(pos) / tile))
+    island = F.col(pos) - F.row_number().over(W.partitionBy(*keys, value, "_tile").orderBy(pos))
+    local = rows.withColumn("_run", island).groupBy(*keys, value, "_tile", "_run").agg(F.min(pos).alias("start"), (F.max(pos) + 1).alias("end")).drop("_run")
+    return islands(apart_from_borders(local, tile), [*keys, value, "_tile"]).drop("_tile").withColumn("end", F.col("end") - 1)
 
 
-def assign_gaps(blocks: DataFrame) -> DataFrame:
+def assign_gaps(blocks: DataFrame, tile: int = TILE) -> DataFrame:
     """Fill the gaps between consecutive typed blocks (chrom, start, end, kind): with the common kind, or split in the middle."""
-    order = W.partitionBy("chrom").orderBy("start", "end", "kind")
-    gaps = blocks.withColumn("p_end", F.lag("end").over(order)).withColumn("p_kind", F.lag("kind").over(order)).where("p_end < start")
+    rows = blocks.withColumn("_tile", F.floor(F.col("start") / tile)).withColumn("_block", F.struct("start", "end", "kind"))
+    # The block before the first one of a tile is the last one of the tile before.
+    across = W.partitionBy("chrom").orderBy("_tile")
+    tiles = rows.groupBy("chrom", "_tile").agg(F.max("_block").alias("_last")).select("chrom", "_tile", F.lag("_last").over(across).alias("_earlier"))
+    rows = rows.withColumn("_before", F.lag("_block").over(W.partitionBy("chrom", "_tile").orderBy("start", "end", "kind")))
+    rows = joined_tiles(rows, tiles, ["chrom"]).withColumn("_before", F.coalesce("_before", "_earlier"))
+    gaps = rows.withColumn("p_end", F.col("_before.end")).withColumn("p_kind", F.col("_before.kind")).where("p_end < start")
     mid = F.floor((F.col("p_end") + F.col("start")) / 2)
     parts = F.when(F.col("kind") == F.col("p_kind"), F.array(F.struct(F.col("p_end").alias("s"), F.col("start").alias("e"), F.col("kind").alias("k")))).otherwise(
         F.array(F.struct(F.col("p_end").alias("s"), mid.alias("e"), F.col("p_kind").alias("k")), F.struct(mid.alias("s"), F.col("start").alias("e"), F.col("kind").alias("k"))))

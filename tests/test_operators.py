@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -38,3 +40,21 @@ def test_subtract_and_intersect_cover_all(spark):
 def test_sequences(spark):
     row = spark.range(1).select(sequence.reverse_complement(F.lit("aCGN")).alias("r"), sequence.pack(F.lit("ACGT")).alias("p"), sequence.kmers(F.lit("ACG"), 5).alias("k"), sequence.kmers(F.lit("ACGTA"), 3, False).alias("h")).first()
     assert tuple(row) == ("NCGT", 27, [], ["ACG", "CGT"])
+
+
+def test_tiles_do_not_matter(spark):
+    """Tiles of 7 positions, across which blocks, runs and gaps go on, give what one tile gives."""
+    rng = random.Random(11)
+    blocks = spark.createDataFrame([("c", s, s + rng.randrange(1, 12)) for s in (rng.randrange(300) for _ in range(40))] + [("d", 0, 50), ("d", 50, 60), ("e", 14, 21)], "chrom string, start long, end long")
+    contigs = spark.createDataFrame([("c", 320), ("d", 60), ("e", 42), ("f", 15), ("g", 0)], "chrom string, length long")
+    depths = spark.createDataFrame([("c", p, rng.randrange(2)) for p in range(100) if p % 13] + [("d", p, 1) for p in range(30)] + [("e", p, None) for p in range(6, 9)], "chrom string, pos long, depth int")
+    kinds = spark.createDataFrame([("c", s, s + rng.randrange(1, 9), rng.choice("ab")) for s in rng.sample(range(400), 30)], "chrom string, start long, end long, kind string")
+    for f in (
+        lambda t: intervals.merge_blocks(blocks, tile=t), lambda t: intervals.merge_blocks(blocks, 2, t), lambda t: intervals.merge_blocks(blocks, 9, t), lambda t: intervals.complement(blocks, contigs, t),
+        lambda t: intervals.run_lengths(depths, ["chrom"], "pos", "depth", t), lambda t: intervals.assign_gaps(kinds, t),
+    ):
+        small, whole = (sorted(map(str, f(t).collect())) for t in (7, 1 << 30))
+        assert small == whole and small
+    covered = {(r.chrom, p) for r in blocks.collect() for p in range(r.start, r.end)}
+    bare = {(r.chrom, p) for r in intervals.complement(blocks, contigs, 7).collect() for p in range(r.start, r.end)}
+    assert bare == {(r.chrom, p) for r in contigs.collect() for p in range(r.length)} - covered
