@@ -9,8 +9,11 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of an Arrow batch, unless the session has another value than Spark's own.
-ARROW_ROWS = ("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+#: Rows and bytes of an Arrow batch: setting, Spark's own value, and ours where the session has that one.
+ARROW_BATCH = (("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"), ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "16777216b"))
+
+#: How a Python worker's allocators behave (glibc's and Arrow's), unless the session's environment says otherwise.
+WORKER_MEMORY = {"MALLOC_MMAP_THRESHOLD_": "1048576", "MALLOC_ARENA_MAX": "2", "ARROW_DEFAULT_MEMORY_POOL": "system"}
 
 _ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -31,9 +34,13 @@ def importable(spark: SparkSession) -> None:
     added entry names no folder and is ignored.
     """
     # Bounds what an Arrow batch of long texts takes in the JVM and in Python; a value of the user's own stays.
-    if spark.conf.get(ARROW_ROWS[0]) == "10000":
-        spark.conf.set(*ARROW_ROWS)
+    for name, usual, ours in ARROW_BATCH:
+        if spark.conf.get(name, None) == usual:
+            spark.conf.set(name, ours)
     env = spark.sparkContext.environment
+    # Python workers live on between tasks: freed arrays go back to the system instead of staying in a worker's heap.
+    for name, value in WORKER_MEMORY.items():
+        env.setdefault(name, value)
     if _ROOT not in env.get("PYTHONPATH", "").split(":"):
         env["PYTHONPATH"] = ":".join(x for x in (_ROOT, env.get("PYTHONPATH", "")) if x)
 

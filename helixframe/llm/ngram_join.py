@@ -49,7 +49,7 @@ from helixframe.llm.common import documents, hot_keys, importable, joined_by_key
 
 WORDS = 5
 #: Fewest and most counters of the list-length sketch (one for each document, in between), and bits of the bitmap of
-#: candidate classes (16 for each pair). Both only save work: longer tables tell more lists and classes apart.
+#: candidate classes (16 for each pair, or each document if there are more pairs). Both only save work: longer tables tell more lists and classes apart.
 SKETCH = (1 << 16, 1 << 24)
 BITMAP = (1 << 20, 1 << 30)
 BLOCKS = 64
@@ -247,14 +247,16 @@ def _lists(postings: DataFrame) -> DataFrame:
 
 def _candidate_sets(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """(cls, grams) of the classes in any pair, by a bitmap: a few others may come along."""
-    n_bits = table_size(16 * pairs.count(), BITMAP)
+    # There are no more classes than documents, however many pairs they make.
+    n_bits = table_size(16 * min(pairs.count(), docs.count()), BITMAP)
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = np.zeros(n_bits, bool)
+        bitmap = np.zeros(n_bits // 8, np.uint8)
         for batch in batches:
             for column in batch.columns:
-                bitmap[column.to_numpy() & (n_bits - 1)] = True
-        for block, data in _blocks_out(np.packbits(bitmap)):
+                at = np.unique(column.to_numpy() & (n_bits - 1))
+                np.bitwise_or.at(bitmap, at >> 3, (128 >> (at & 7)).astype(np.uint8))
+        for block, data in _blocks_out(bitmap):
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([data], pa.binary())], ["block", "data"])
 
     marks = _merged(pairs.select("a", "b").mapInArrow(bits, "block int, data binary"), "u1", np.bitwise_or)
