@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from helixframe.llm import kernels as K
-from helixframe.llm.common import importable, labelled_sample
+from helixframe.llm.common import importable
 
 #: n-grams are N bytes of UTF-8, hashed to BUCKETS buckets.
 N = 4
@@ -37,8 +37,8 @@ SMOOTHING = 10.0
 #: Languages are told apart by this many hash values; a raw weight is held in steps of 2**-20.
 STRATA = 4096
 WEIGHT_STEPS = 1 << 20
-#: At most so many labelled rows name the trusted target (a bounded sample, see labelled_sample).
-MAX_LABELLED = 200_000
+#: Up to so many ids of trusted rows are broadcast; more are joined by a shuffle. All of them count either way.
+MOST_BROADCAST = 2_000_000
 
 
 def hashed_grams(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -100,12 +100,13 @@ def log_ratios(n_target: np.ndarray, n_raw: np.ndarray) -> np.ndarray:
     return np.log(n_target + SMOOTHING) - np.log(n_raw + SMOOTHING)
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = MAX_LABELLED) -> np.ndarray:
-    """The log ratios by bucket. Trusted are the rows of docs whose label is 1; lang, where docs have it, serves to weight the raw counts only."""
-    trusted = labelled_sample(labels, label, most, F.col(label) == 1).select(F.col("doc_id").alias("_trusted"))
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality") -> np.ndarray:
+    """The log ratios by bucket. Trusted are all rows of docs whose label is 1; lang, where docs have it, serves to weight the raw counts only."""
+    trusted = labels.where((F.col(label) == 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_trusted")).distinct()
+    trusted = F.broadcast(trusted) if trusted.count() <= MOST_BROADCAST else trusted
     stratum = F.pmod(F.xxhash64(F.col("lang").cast("string")), F.lit(STRATA)).cast("int") if "lang" in docs.columns else F.lit(0)
     marked = docs.select(F.col("doc_id").alias("_id"), F.col("text").cast("string").alias("text"), stratum.alias("stratum"))
-    marked = marked.join(F.broadcast(trusted), F.col("_id") == F.col("_trusted"), "left").withColumn("is_target", F.col("_trusted").isNotNull())
+    marked = marked.join(trusted, F.col("_id") == F.col("_trusted"), "left").withColumn("is_target", F.col("_trusted").isNotNull())
     weights = raw_weights(marked)
     if not weights.any():
         return np.zeros(BUCKETS)
