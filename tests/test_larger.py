@@ -2,6 +2,9 @@
 
 from pyspark.sql import functions as F
 
+import random
+
+from helixframe.operators import linkage, sequence
 from helixframe.plans import more
 
 
@@ -16,3 +19,23 @@ def test_tied_segments_do_not_depend_on_the_order_of_rows(spark, tmp_path):
         found.append(sorted(tuple(r) for r in pairs.select("qname", "ref1_end", "ref2_start", "read1_end", "read2_start").collect()))
     assert found[0] == found[1] == found[2]
     assert [(read1_end, read2_start) for _, _, _, read1_end, read2_start in found[0]] == [(1986, 977), (1992, 1977)]
+
+
+def test_pairing_does_not_join_pairs_of_texts(spark):
+    refs = spark.createDataFrame([("c1", "ACGT" * 500)], "chrom string, seq string")
+    calls = spark.createDataFrame([(f"s{i}", i % 2 + 1, "c1", "DEL", 200 + 7 * i, 240 + 7 * i, "", 1) for i in range(6)], "svid string, hap int, chrom string, svtype string, start long, end long, alt string, copies int")
+    paired = linkage.pair_by_sequence(calls, refs)
+    plan = paired._jdf.queryExecution().analyzed().toString()
+    assert "levenshtein" not in plan and "FlatMapGroupsInPandas" not in plan
+    assert sorted(paired.columns) == sorted([*calls.columns, "part", "cluster"]) and paired.count() == 6
+
+
+def test_edit_distance_against_the_matrix():
+    rng = random.Random(3)
+    for _ in range(500):
+        a, b = ("".join(rng.choice("ACGé") for _ in range(rng.randrange(14))) for _ in range(2))
+        row = list(range(len(b) + 1))
+        for i, c in enumerate(a, 1):
+            row = [last := i] + [last := min(row[j] + (c != d), row[j + 1] + 1, last + 1) for j, d in enumerate(b)]
+        most = rng.randrange(16)
+        assert sequence.edit_distance(a, b, most) == (row[-1] if row[-1] <= most else -1)
