@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 import random
 
-from helixframe.operators import linkage, sequence
+from helixframe.operators import calling, linkage, pileup, sequence
 from helixframe.plans import more
 
 
@@ -39,3 +39,36 @@ def test_edit_distance_against_the_matrix():
             row = [last := i] + [last := min(row[j] + (c != d), row[j + 1] + 1, last + 1) for j, d in enumerate(b)]
         most = rng.randrange(16)
         assert sequence.edit_distance(a, b, most) == (row[-1] if row[-1] <= most else -1)
+
+
+def test_nearest_blocks_in_tiles(spark):
+    rng = random.Random(8)
+    blocks = [(i, "c", 20 * i + rng.randrange(5), 20 * i + rng.randrange(6, 15)) for i in range(12) if i not in (4, 5, 6)]
+    reads = [(f"r{i}", "c", at, at + rng.randrange(1, 30)) for i, at in enumerate(rng.randrange(-20, 300) for _ in range(60))]
+    got = pileup.nearest_blocks(spark.createDataFrame(reads, "read string, chrom string, start long, end long"), spark.createDataFrame(blocks, "block long, chrom string, b_start long, b_end long"), tile=16)
+    want = [(read, block, dist, rk) for read, _, s, e in reads for rk, (dist, block) in enumerate(sorted((max(s, b) - min(e, c), i) for i, _, b, c in blocks)[:2], 1)]
+    assert sorted(tuple(r) for r in got.select("read", "block", "dist", "rk").collect()) == sorted(want)
+    # A frame up to the partition's end is gone through anew for each row.
+    assert "unboundedfollowing" not in got._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_inversion_support_against_all_pairs(spark):
+    rng = random.Random(9)
+    calls = [(f"s{rng.randrange(40)}", rng.choice("cd"), rng.randrange(300), rng.randrange(60)) for _ in range(30)]
+    alns = [(rng.choice("cd"), s, s + rng.randrange(1, 40), rng.randrange(3), f"q{rng.randrange(8)}", rng.randrange(2)) for s in (rng.randrange(400) for _ in range(200))]
+    want = {}
+    for svid, chrom, pos, svlen in calls:
+        for first, at in ((0, pos), (1, pos + svlen)):
+            for c, s, e, mapq, q, rev in alns:
+                if c == chrom and s < at + 10 and e > at - 10 and mapq >= 1:
+                    want.setdefault(svid, ({}, {}))[first].setdefault(q, set()).add(rev)
+    counts = {svid: tuple(sum(len(r) == 2 for r in side.values()) for side in sides) for svid, sides in want.items()}
+    got = calling.inversion_support(spark.createDataFrame(calls, "svid string, chrom string, pos long, svlen long"), spark.createDataFrame(alns, "chrom string, ref_start long, ref_end long, mapq int, qname string, is_reverse int"), 10, 1, 1)
+    assert {r.svid: (r.n_start, r.n_end) for r in got.collect()} == {svid: n for svid, n in counts.items() if min(n) > 0}
+
+
+def test_inversion_support_meets_no_alignment(spark):
+    calls = spark.createDataFrame([("s", "c", 100, 50)], "svid string, chrom string, pos long, svlen long")
+    alns = spark.createDataFrame([("c", 0, 500, 1, "q", i % 2) for i in range(4)], "chrom string, ref_start long, ref_end long, mapq int, qname string, is_reverse int")
+    got = calling.inversion_support(calls, alns)
+    assert "sequence(" not in got._jdf.queryExecution().analyzed().toString() and [tuple(r) for r in got.collect()] == [("s", 1, 1)]
