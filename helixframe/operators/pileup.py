@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from helixframe.operators import cigar
+from helixframe.operators.intervals import TILE, joined_tiles
 
 
 def read_bases(pileup: DataFrame) -> DataFrame:
@@ -88,12 +89,12 @@ def control_break_records(lines: DataFrame) -> DataFrame:
     return out.where("target is not null")
 
 
-def nearest_blocks(reads: DataFrame, blocks: DataFrame, n: int = 2) -> DataFrame:
+def nearest_blocks(reads: DataFrame, blocks: DataFrame, n: int = 2, tile: int = TILE) -> DataFrame:
     """(read, block, dist, rk): the n blocks (block, chrom, b_start, b_end) nearest to each read (read, chrom, start, end), by max(starts) - min(ends),
     which is negative where they overlap; of equal ones the least block.
 
-    Blocks may not overlap each other. Then the n nearest are among the n that begin before the read's start or at it and the n that begin after it, which one
-    pass in the order of starts carries along: no read meets all blocks.
+    Blocks may not overlap each other. Then the n nearest are among the n that begin before the read's start or at it and the n that begin after it, which two
+    passes in the order of starts carry along within tiles: no read meets all blocks.
     """
     cell = F.struct("b_start", "b_end", "block")
     w = W.partitionBy("chrom").orderBy("b_start")
@@ -101,10 +102,16 @@ def nearest_blocks(reads: DataFrame, blocks: DataFrame, n: int = 2) -> DataFrame
     around = blocks.withColumn("_back", F.array(*[F.lag(cell, i).over(w) for i in range(n)])).withColumn("_on", F.array(*[F.lead(cell, i).over(w) for i in range(n)]))
     points = reads.select("chrom", F.col("start").alias("at"), F.struct("read", "start", "end").alias("r"), F.lit(None).cast(around.schema["_back"].dataType).alias("_back"), F.lit(None).cast(around.schema["_on"].dataType).alias("_on"))
     marks = around.select("chrom", F.col("b_start").alias("at"), F.lit(None).cast(points.schema["r"].dataType).alias("r"), "_back", "_on")
-    both = points.unionByName(marks)
-    # At equal places blocks (no read) come first.
-    order = W.partitionBy("chrom").orderBy("at", F.col("r").isNotNull())
-    rows = both.withColumn("_b", F.last("_back", True).over(order.rowsBetween(W.unboundedPreceding, 0))).withColumn("_o", F.first("_on", True).over(order.rowsBetween(0, W.unboundedFollowing))).where("r is not null")
+    both = points.unionByName(marks).withColumn("_tile", F.floor(F.col("at") / tile))
+    # Within a tile; both frames end at the row, as one that ends with the partition would be gone through anew for each row. At equal places blocks (no read) come first.
+    w = W.partitionBy("chrom", "_tile")
+    sofar = lambda *order: w.orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    rows = both.withColumn("_b", F.last("_back", True).over(sofar("at", F.col("r").isNotNull()))).withColumn("_o", F.last("_on", True).over(sofar(F.desc("at"), F.col("r").isNull()))).where("r is not null")
+    # A read without a block before or after it in its tile takes the nearest one of the tiles beyond.
+    tiles = both.groupBy("chrom", "_tile").agg(F.max_by("_back", F.when(F.col("r").isNull(), F.col("at"))).alias("_b"), F.min_by("_on", F.when(F.col("r").isNull(), F.col("at"))).alias("_o"))
+    beyond = lambda c, order: F.last(c, True).over(W.partitionBy("chrom").orderBy(order).rowsBetween(W.unboundedPreceding, -1))
+    tiles = tiles.select("chrom", "_tile", beyond("_b", F.col("_tile")).alias("_earlier"), beyond("_o", F.desc("_tile")).alias("_later"))
+    rows = joined_tiles(rows, tiles, ["chrom"]).withColumn("_b", F.coalesce("_b", "_earlier")).withColumn("_o", F.coalesce("_o", "_later"))
     near = rows.select("r.*", F.explode(F.concat(F.coalesce("_b", F.array().cast(around.schema["_back"].dataType)), F.coalesce("_o", F.array().cast(around.schema["_on"].dataType)))).alias("c")).where("c is not null")
     near = near.withColumn("dist", F.greatest("start", "c.b_start") - F.least("end", "c.b_end"))
     near = near.withColumn("rk", F.row_number().over(W.partitionBy("read").orderBy("dist", "c.block"))).where(F.col("rk") <= n)
