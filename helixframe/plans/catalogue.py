@@ -352,7 +352,7 @@ _REDUNDANT = ctes("calls", "alts").replace("WITH ", "WITH RECURSIVE ", 1) + """,
 @query("redundancy_components", _REDUNDANT + " SELECT svid AS node, label FROM l")
 def _(spark, d):
     calls = frame(spark, d, "calls").join(frame(spark, d, "alts"), "svid")
-    return calling.components(calling.redundancy_links(calls))
+    return calling.redundancy_labels(calls)
 
 
 @query("redundancy_collapse", _REDUNDANT + """ SELECT svid, CASE WHEN label IS NOT NULL THEN concat(svtype, ':', label) END AS collapse_id, label IS NULL OR row_number() OVER (PARTITION BY label ORDER BY svlen DESC, svid) = 1 AS kept FROM v LEFT JOIN l USING (svid)""")

@@ -72,3 +72,30 @@ def test_inversion_support_meets_no_alignment(spark):
     alns = spark.createDataFrame([("c", 0, 500, 1, "q", i % 2) for i in range(4)], "chrom string, ref_start long, ref_end long, mapq int, qname string, is_reverse int")
     got = calling.inversion_support(calls, alns)
     assert "sequence(" not in got._jdf.queryExecution().analyzed().toString() and [tuple(r) for r in got.collect()] == [("s", 1, 1)]
+
+
+def test_redundancy_labels_against_all_links(spark):
+    rng = random.Random(11)
+    for tile in (50_000, 700):
+        calling.LINK_TILE = tile
+        rows = []
+        for i in range(160):
+            svtype = rng.choice(["DEL", "INS"])
+            svlen = rng.choice([0, 5, 30, 35, 80, 300, 320, 900, 5000]) if svtype == "DEL" else rng.choice([30, 50, 70, 150])
+            rows.append((f"s{i if i < 150 else rng.randrange(150)}", rng.choice("cd"), svtype, rng.randrange(-500, 14_000), svlen, "".join(rng.choice("AC") for _ in range(rng.choice([0, 2, 8, 20, 31])))))
+        calls = spark.createDataFrame(rows, "svid string, chrom string, svtype string, pos long, svlen long, alt string")
+        want = sorted(tuple(r) for r in calling.components(calling.redundancy_links(calls)).select("node", "label").collect())
+        assert sorted(tuple(r) for r in calling.redundancy_labels(calls).select("node", "label").collect()) == want and len({x for _, x in want}) > 5
+    calling.LINK_TILE = 50_000
+
+
+def test_links_of_a_dense_place_are_few(spark):
+    # 3000 insertions at a place have 4.5 million links.
+    rows = [(200 + i % 300, 50, f"s{i}", "ACGT"[i % 4] * 9) for i in range(3000)]
+    tried = []
+    alike, calling._alike = calling._alike, lambda x, y: tried.append(1) or alike(x, y)
+    try:
+        found = calling._linked_in_tile(False, rows)
+    finally:
+        calling._alike = alike
+    assert len({root for _, root in found}) == 1 and len(found) == 3000 and len(tried) < 10_000
