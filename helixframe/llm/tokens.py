@@ -10,8 +10,8 @@ once the attempt's manifest row is in, so a lost executor leaves no half-written
 
 Encoding is the tokenizer library's.  Its byte-level BPE works on each pre-token alone, so
 a text is cut into pre-tokens by vectorised code (the rule of the library's
-pre-tokenizer), each distinct one is encoded by the library once, and the ids
-are put together. Pre-tokens are looked up by a hash and compared byte by byte; in a slice where two differ under one hash,
+pre-tokenizer), each distinct one is encoded by the library once, many in a call, and the ids
+are put together; the bytes that ids stand for tell where the ids of one pre-token end. Pre-tokens are looked up by a hash and compared byte by byte; in a slice where two differ under one hash,
 all texts go to the library whole, as do slices of text with a special token's string, or with code points that Python's
 tables do not know.
 
@@ -22,6 +22,7 @@ empty table writes nothing and gives an empty result; further columns are ignore
 
 from __future__ import annotations
 
+import os
 import unicodedata
 import uuid
 import zlib
@@ -42,6 +43,8 @@ TOKENIZER = "byte_bpe_50k.json"
 SLICE = 1 << 20
 #: Bytes of text of a part, about.
 PART_BYTES = 16 << 20
+#: Pre-tokens that the library encodes in one call.
+AT_ONCE = 1024
 #: Distinct pre-tokens that a worker remembers; then it starts anew.
 MOST_REMEMBERED = 1_000_000
 NULL_ID = -(1 << 63)
@@ -69,10 +72,10 @@ def classes() -> np.ndarray:
     return _classes[0]
 
 
-def pretoken_starts(points: np.ndarray, row_at: np.ndarray) -> np.ndarray:
-    """True where a pre-token starts. row_at: the first code point of each row, and the end."""
+def pretoken_starts(points: np.ndarray, row_at: np.ndarray, kind: np.ndarray | None = None) -> np.ndarray:
+    """True where a pre-token starts. row_at: the first code point of each row, and the end; kind: the classes of the points, if they are known."""
     n = len(points)
-    kind = classes()[points]
+    kind = classes()[points] if kind is None else kind
     space = kind == SPACE
     row_start = np.zeros(n + 1, bool)
     row_start[row_at] = True
@@ -109,7 +112,17 @@ def stretches(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def same_spans(words: np.ndarray, at: np.ndarray, counts: np.ndarray, sizes: np.ndarray, others: np.ndarray, other_at: np.ndarray, other_sizes: np.ndarray) -> bool:
     """Whether each span's bytes (counts words of `words` from `at`) are those of the other one (from other_at in others)."""
-    return np.array_equal(sizes, other_sizes) and np.array_equal(words[stretches(at, counts)], others[stretches(other_at, counts)])
+    if not (np.array_equal(sizes, other_sizes) and np.array_equal(words[at], others[other_at])):
+        return False
+    more = np.flatnonzero(counts > 1)
+    return np.array_equal(words[stretches(at[more], counts[more])], others[stretches(other_at[more], counts[more])])
+
+
+def kinds_of(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct hashes in the order in which they first occur, where each does, and the number of each row's."""
+    coded = pa.array(hashes).dictionary_encode()
+    which = coded.indices.to_numpy()
+    return coded.dictionary.to_numpy(), np.flatnonzero(np.diff(np.maximum.accumulate(which), prepend=-1) > 0), which
 
 
 class Encoder:
@@ -118,9 +131,14 @@ class Encoder:
     def __init__(self, tokenizer: str) -> None:
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.library = Tokenizer.from_file(tokenizer)
         self.specials = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
         self.vocabulary = self.library.get_vocab_size()
+        # The bytes that each id stands for: in a byte-level vocabulary every character is one.
+        names = self.library.get_vocab()
+        self.id_bytes = np.zeros(max(names.values(), default=0) + 1, np.int64)
+        self.id_bytes[list(names.values())] = [len(x) for x in names]
         self.forget()
 
     def forget(self) -> None:
@@ -142,12 +160,8 @@ class Encoder:
         self.words[filled : filled + len(words)] = words
         self.word_starts = np.concatenate([self.word_starts, filled + np.cumsum(counts)])
         self.sizes = np.concatenate([self.sizes, sizes])
-        lengths, flat = [], []
-        for i in range(0, len(texts), 4096):
-            for got in self.library.encode_batch_fast(texts[i : i + 4096], add_special_tokens=False):
-                ids = got.ids
-                lengths.append(len(ids))
-                flat += ids
+        found = [self._encoded(texts[i : i + AT_ONCE], sizes[i : i + AT_ONCE]) for i in range(0, len(texts), AT_ONCE)]
+        flat, lengths = (np.concatenate(x) for x in zip(*found, strict=True))
         if self.used + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros(len(self.ids) + len(flat), np.uint32)])
         self.ids[self.used : self.used + len(flat)] = flat
@@ -157,6 +171,18 @@ class Encoder:
         self.keys = np.insert(self.keys, places, keys)
         self.slots = np.insert(self.slots, places, slots)
 
+    def _encoded(self, texts: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pre-tokens, end to end, and how many each has. The library takes them as one text that is already cut: an object
+        for each would cost more than its ids. If the ids' bytes do not end where each pre-token does, they are encoded one by one."""
+        (got,) = self.library.encode_batch_fast([texts], is_pretokenized=True, add_special_tokens=False)
+        ids, ends = np.array(got.ids, np.int64), np.cumsum(sizes)
+        upto = np.cumsum(self.id_bytes[ids])
+        last = np.searchsorted(upto, ends)
+        if len(ids) and upto[-1] == ends[-1] and np.array_equal(upto[last], ends):
+            return ids, np.diff(last, prepend=-1)
+        each = [x.ids for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.array([i for x in each for i in x], np.int64), np.array([len(x) for x in each], np.int64)
+
     def _slots(self, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where sorted hashes stand, or would, among the known ones; and whether they are known."""
         places = np.searchsorted(self.keys, kinds)
@@ -173,21 +199,24 @@ class Encoder:
         """The ids of all rows, end to end, and the ids in each row."""
         raw = data.tobytes()
         points = np.frombuffer(raw.decode("utf-8").encode("utf-32-le"), np.uint32)
-        if any(s in raw for s in self.specials) or (classes()[points] == UNKNOWN).any():
+        kind = classes()[points]
+        if any(s in raw for s in self.specials) or (kind == UNKNOWN).any():
             return self.whole(raw, at)
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(at) - 1, np.int64)
         lead = np.flatnonzero((data & 0xC0) != 0x80)
-        begins = lead[pretoken_starts(points, np.searchsorted(lead, at))]
+        begins = lead[pretoken_starts(points, np.searchsorted(lead, at), kind)]
         ends = np.append(begins[1:], len(data))
         sizes = ends - begins
         words, counts = K.span_words(data, begins, ends)
         at_word = np.cumsum(counts) - counts
-        kinds, first, which = np.unique(K.word_hashes(words, counts, sizes), return_index=True, return_inverse=True)
+        kinds, first, which = kinds_of(K.word_hashes(words, counts, sizes))
         if not same_spans(words, at_word, counts, sizes, words, at_word[first][which], sizes[first][which]):
             return self.whole(raw, at)
         if len(self.keys) + len(kinds) > MOST_REMEMBERED:
             self.forget()
+        order = np.argsort(kinds)
+        kinds, first = kinds[order], first[order]
         places, known = self._slots(kinds)
         if not known.all():
             new = np.flatnonzero(~known)
@@ -198,11 +227,11 @@ class Encoder:
         slots = self.slots[places]
         if not same_spans(words, at_word[first], counts[first], sizes[first], self.words, self.word_starts[slots], self.sizes[slots]):
             return self.whole(raw, at)
-        lengths = (self.starts[slots + 1] - self.starts[slots])[which]
-        upto = np.cumsum(lengths)
-        ids = self.ids[np.repeat(self.starts[slots][which] - (upto - lengths), lengths) + np.arange(upto[-1])]
-        totals = np.concatenate([[0], upto])
-        return ids, np.diff(totals[np.searchsorted(begins, at)])
+        by_kind = np.empty(len(slots), np.int64)
+        by_kind[order] = slots
+        known_ids = pa.LargeListArray.from_arrays(pa.array(self.starts), pa.array(self.ids[: self.used]))
+        found = known_ids.take(pa.array(by_kind[which]))
+        return found.flatten().to_numpy(), np.diff(found.offsets.to_numpy()[np.searchsorted(begins, at)])
 
     def column(self, column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for _, _, data, at in K.text_slices(column, SLICE):
