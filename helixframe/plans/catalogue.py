@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from helixframe.operators import calling, cigar, greedy, intervals, sequence
+from helixframe.operators import calling, cigar, greedy, intervals, marks, sequence
 from helixframe.plans.adapters import ctes, frame
 from helixframe.plans.registry import QUERIES, SQL, query  # noqa: F401
 from helixframe.sources import formats
@@ -142,10 +142,7 @@ def _(spark, d):
 @query("kmer_overlap", _KMERS + """, n AS (SELECT lang, kmer, count(*) AS cnt FROM k GROUP BY ALL), u AS (SELECT lang, kmer, cnt FROM n WHERE kmer IN (SELECT kmer FROM n GROUP BY kmer HAVING count(*) = 1)),
   r AS (SELECT doc_id, kmer, count(*) AS c FROM k GROUP BY ALL) SELECT doc_id, lang, CAST(sum(c + cnt) AS BIGINT) AS score FROM r JOIN u USING (kmer) GROUP BY ALL""")
 def _(spark, d):
-    reads = frame(spark, d, "reads")
-    marks = sequence.unique_kmers(sequence.count_kmers(reads, K, "lang"), "lang")
-    counts = sequence.count_kmers(reads, K, "doc_id").withColumnRenamed("cnt", "c")
-    return counts.join(marks, "kmer").groupBy("doc_id", "lang").agg(F.sum(F.col("c") + F.col("cnt")).alias("score"))
+    return marks.mark_scores(frame(spark, d, "reads"), K, "lang")
 
 
 @query("minimizers", _kmer_ctes(15) + """, m AS (SELECT doc_id, min(concat(kmer, lpad(CAST(pos AS string), 9, '0'))) OVER w AS m, count(*) OVER w AS n FROM k WINDOW w AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING))
