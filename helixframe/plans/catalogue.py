@@ -181,7 +181,7 @@ def _(spark, d):
 
 @query("overlay", _IV + " SELECT a.svid, g.qname, g.hp FROM a JOIN sigs g ON a.chrom = g.chrom AND a.s < g.pos + g.svlen AND g.pos < a.e")
 def _(spark, d):
-    return intervals.overlap_join(_blocks(frame(spark, d, "calls"), "svid"), _named(_blocks(frame(spark, d, "sigs"), "qname", "hp"))).select("svid", "qname", "hp")
+    return intervals.ordered_overlaps(_blocks(frame(spark, d, "calls"), "svid"), _named(_blocks(frame(spark, d, "sigs"), "qname", "hp"))).select("svid", "qname", "hp")
 
 
 @query("bed_semi", _IV + " SELECT svid FROM a WHERE EXISTS (SELECT 1 FROM b WHERE a.chrom = b.chrom AND a.s < b.e AND b.s < a.e)")

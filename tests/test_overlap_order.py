@@ -47,7 +47,7 @@ def test_empty_and_backward_blocks_as_in_the_plain_join(spark):
         assert sorted(tuple(r) for r in found.select("x", "y").collect()) == plain
 
 
-@pytest.mark.parametrize("name, columns", [("interval_intersect", ("svid", "i_start", "i_end"))])
+@pytest.mark.parametrize("name, columns", [("interval_intersect", ("svid", "i_start", "i_end")), ("overlay", ("svid", "qname", "hp"))])
 def test_dense_pairs_are_written_small(spark, tmp_path, name, columns):
     rng, apart = random.Random(7), pow(7919, -1, 1_000_000)  # keys of neighbouring positions are so far apart
     orders = [(k * apart % 1_000_000, 22 * rng.randrange(9), "F") for k in rng.sample(range(3000), 1000)]
