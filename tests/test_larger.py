@@ -1,8 +1,11 @@
 """Cases in which the form before gave other rows, or took work that grew with the square of the input."""
 
-from pyspark.sql import functions as F
-
+import itertools
 import random
+from collections import Counter
+
+import numpy as np
+from pyspark.sql import functions as F
 
 from helixframe.operators import calling, linkage, pileup, sequence
 from helixframe.plans import more
@@ -99,3 +102,36 @@ def test_links_of_a_dense_place_are_few(spark):
     finally:
         calling._alike = alike
     assert len({root for _, root in found}) == 1 and len(found) == 3000 and len(tried) < 10_000
+
+
+def test_linkage_of_pairs_against_the_matrix():
+    rng = random.Random(5)
+    for _ in range(3000):
+        n, kinds, cut = rng.randrange(2, 14), rng.randrange(2, 5), rng.randrange(1, 7)
+        haps = [str(rng.randrange(kinds)) for _ in range(n)]
+        d = np.full((n, n), float(linkage.FAR))
+        for i, j in itertools.combinations(range(n), 2):
+            if haps[i] != haps[j] and rng.random() < 0.9:
+                d[i, j] = d[j, i] = rng.randrange(9)
+        near = sorted((d[i, j], i, j, haps[i], haps[j]) for i, j in itertools.combinations(range(n), 2) if d[i, j] <= cut)
+        first = linkage.linkage_of_pairs(near)
+        places = {x: k for k, x in enumerate(sorted({first.get(i, i) for i in range(n)}))}
+        assert [places[first.get(i, i)] for i in range(n)] == linkage.complete_linkage(d, cut).tolist()
+
+
+def test_large_partitions_are_paired(spark):
+    rng = random.Random(12)
+    calls, refs = [], []
+    for chrom, svtype in itertools.product(("c", "d"), ("DEL", "INS", "INV", "DUP")):
+        for i in range(75 if chrom == "c" else 9):
+            start = rng.randrange(40, 1900)
+            alt = "".join(rng.choice("AC") for _ in range(rng.randrange(20, 60)))
+            calls.append((f"{chrom}{svtype}{rng.randrange(90)}", rng.choice((1, 2, 2, None) if i % 9 == 0 else (1, 2)), chrom, svtype, start, start + (0 if svtype == "INS" else rng.randrange(20, 80)), alt if i % 20 else None, i % 3))
+        refs = [(c, "".join(random.Random(c).choice("ACGTacgt") for _ in range(2500))) for c in "cd"]
+    df = spark.createDataFrame(calls, "svid string, hap int, chrom string, svtype string, start long, end long, alt string, copies int")
+    refs = spark.createDataFrame(refs, "chrom string, seq string")
+    found = [sorted(map(str, linkage.pair_by_sequence(df, refs, cut=60, most=most).collect())) for most in (10, 1000, 1)]
+    # The same clusters in one piece, in chunks, and some either way; nothing is dropped.
+    assert found[0] == found[1] == found[2] and len(found[0]) == len(calls)
+    sizes = Counter((r.chrom, r.svtype, r.part, r.cluster) for r in linkage.pair_by_sequence(df, refs, cut=60).collect())
+    assert set(sizes.values()) == {1, 2} and len(sizes) > 100
